@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import fits_broadcast, materialize
 
-_MANY_VERSIONS = 64  # above this, testing every version of an id per fact row is too slow
+MANY_VERSIONS = 64  # above this, testing every version of an id per fact row is too slow
 
 
 @dataclass(frozen=True)
@@ -129,7 +129,7 @@ def _in_range(ts: Column, start: Column, end: Column) -> Column:
 
 def _few_versions(dim: DataFrame, spec: Versioned) -> bool:
     most = dim.groupBy(spec.key).count().agg(F.max("count")).first()[0]
-    return (most or 0) <= _MANY_VERSIONS
+    return (most or 0) <= MANY_VERSIONS
 
 
 def version_as_of(

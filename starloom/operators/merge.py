@@ -167,10 +167,9 @@ def scd2_from_log(
     are closed by the first change after them; log rows older than them are stale.
     """
     order = list(order)
-    rows = log.select(spec.key, F.col(ts).alias(spec.start), *tracked, *order).withColumn(
-        spec.surrogate, F.lit(None).cast("bigint")
-    )
+    rows = log.select(spec.key, F.col(ts).alias(spec.start), *tracked, *order)
     if dim is not None:
+        rows = rows.withColumn(spec.surrogate, F.lit(None).cast("bigint"))
         current = dim.filter(F.col(spec.current))
         begin = current.select(F.col(spec.key).alias("_id"), F.col(spec.start).alias("_begin"))
         rows = rows.join(begin, F.col(spec.key) == F.col("_id"), "left").filter(
@@ -189,10 +188,10 @@ def scd2_from_log(
         spec.key, *tracked, spec.start,
         F.col(f"_next.{spec.start}").alias(spec.end),
         F.col("_next").isNull().alias(spec.current),
-        spec.surrogate,
+        *([spec.surrogate] if dim is not None else []),
     )
     if dim is None:
-        return dense_key(versions.drop(spec.surrogate), spec.surrogate, [spec.key, spec.start])
+        return dense_key(versions, spec.surrogate, [spec.key, spec.start])
     kept = versions.filter(F.col(spec.surrogate).isNotNull())
     fresh = dense_key(
         versions.filter(F.col(spec.surrogate).isNull()).drop(spec.surrogate),

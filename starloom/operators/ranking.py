@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 _SAMPLE_PER_CUT = 40
-_CUTS = 256
+_ROWS_PER_CELL = 1_000_000  # rows ranked by one task around a boundary
+_MIN_CELLS, _MAX_CELLS = 16, 1024
 
 
 def top(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
@@ -42,9 +43,9 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, out: str) -> D
     )
 
 
-def _sample(df: DataFrame, columns: Sequence[Sequence[str]], total: int) -> list:
-    """At most a few ten thousand rows, for choosing cut points only."""
-    want = _CUTS * _SAMPLE_PER_CUT
+def _sample(df: DataFrame, columns: Sequence[Sequence[str]], total: int, cells: int) -> list:
+    """A few dozen rows per cell, for choosing cut points only."""
+    want = cells * _SAMPLE_PER_CUT
     names = list(dict.fromkeys(c for group in columns for c in group))
     slim = df.select(*names)
     if total > want:
@@ -52,16 +53,22 @@ def _sample(df: DataFrame, columns: Sequence[Sequence[str]], total: int) -> list
     return slim.limit(2 * want).collect()
 
 
-def _literal(names: Sequence[str], types: dict, row: Sequence) -> Column:
-    return F.struct(*[F.lit(v).cast(types[n]).alias(n) for n, v in zip(names, row)])
+def _literal(names: Sequence[str], types: dict, row: Sequence) -> str:
+    """SQL text of a row value."""
+    fields = []
+    for name, value in zip(names, row):
+        quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        fields.append(f"'{name}', CAST('{quoted}' AS {types[name].simpleString()})")
+    return f"named_struct({', '.join(fields)})"
 
 
-def _position(value: Column, cuts: list[Column], coarse: int) -> Column:
-    """Number of cut points <= value, by a two-step search."""
+def _position(names: Sequence[str], cuts: list[str], coarse: int = 16) -> Column:
+    """Number of cut points <= the row, by a two-step search; `cuts` are SQL texts in order."""
     groups = [cuts[i : i + coarse] for i in range(0, len(cuts), coarse)]
-    heads = F.array(*[g[0] for g in groups])
+    value = F.struct(*names)
+    heads = F.expr(f"array({', '.join(g[0] for g in groups)})")
+    table = F.expr("array(" + ", ".join(f"array({', '.join(g)})" for g in groups) + ")")
     group = F.size(F.filter(heads, lambda c: c <= value))
-    table = F.array(*[F.array(*g) for g in groups])
     inside = F.size(F.filter(F.element_at(table, F.greatest(group, F.lit(1))), lambda c: c <= value))
     return F.when(group == 0, 0).otherwise((group - 1) * coarse + inside)
 
@@ -99,14 +106,15 @@ def ntile_by_selection(
         ends.append(t * small + min(t, extra))
     wanted = sorted({e for e in ends if 0 < e < total})
 
-    sample = _sample(keyed, list(sort_names.values()), total)
+    cells_wanted = min(_MAX_CELLS, max(_MIN_CELLS, total // _ROWS_PER_CELL))
+    sample = _sample(keyed, list(sort_names.values()), total, cells_wanted)
     places: dict[str, Column] = {}
     for out in outs:
         names = sort_names[out]
         points = sorted({tuple(row[n] for n in names) for row in sample})
-        step = max(1, len(points) // _CUTS)
+        step = max(1, len(points) // cells_wanted)
         cuts = [_literal(names, types, p) for p in points[::step]]
-        places[out] = _position(F.struct(*names), cuts, 16) if cuts else F.lit(0)
+        places[out] = _position(names, cuts) if cuts else F.lit(0)
     cells = keyed.withColumns({f"_{o}_place": places[o] for o in outs})
 
     tags = F.explode(F.array(*[F.struct(F.lit(o).alias("o"), F.col(f"_{o}_place").alias("p")) for o in outs]))
@@ -139,6 +147,6 @@ def ntile_by_selection(
         value = F.struct(*[(F.col(c) if asc else -F.col(c)).alias(n) for (c, asc), n in zip(measures[out], names)])
         tile = F.lit(1)
         for bound in bounds[out]:
-            tile = tile + F.when(value > _literal(names, types, bound), 1).otherwise(0)
+            tile = tile + F.when(value > F.expr(_literal(names, types, bound)), 1).otherwise(0)
         result = result.withColumn(out, tile)
     return result

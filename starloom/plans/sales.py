@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import date_key
 from ..operators.clean import CUSTOMER_ATTRIBUTES, PRODUCT_ATTRIBUTES, clean_customers, clean_orders, clean_products
-from ..operators.joins import CUSTOMER_VERSIONS, asof_with_fallback, not_loaded, point_in_time_join
+from ..operators.joins import CUSTOMER_VERSIONS, MANY_VERSIONS, asof_with_fallback, not_loaded, point_in_time_join
 from ..operators.keys import dense_key, max_key, ordered_key, sequence_key
 from ..operators.measures import sales_measures
-from ..operators.merge import scd1_merge, scd2_merge
-from ..session import materialize
+from ..operators.merge import scd1_merge, scd2_from_log, scd2_merge
+from ..session import fits_broadcast, materialize
+from ..sources.payloads import union_batches
 from .calendar import date_dim
 
 FACT_COLUMNS = [part.split()[0] for part in schemas.FACT_SALES.split(", ")]
@@ -48,6 +49,18 @@ def load_customers(dim: DataFrame | None, clean: DataFrame) -> DataFrame:
     return scd2_merge(dim, clean, CUSTOMER_ATTRIBUTES, "updated_at")
 
 
+def customers_from_batches(batches: Sequence[DataFrame]) -> DataFrame:
+    """The versioned dimension after several cleaned batches, built in one pass.
+
+    Equals applying `load_customers` batch by batch when later batches carry later times. A batch
+    has one row per customer, so a customer has at most as many rows as there are batches.
+    """
+    numbered = [batch.withColumn("_batch", F.lit(i)) for i, batch in enumerate(batches)]
+    log = union_batches(numbered)
+    versions = scd2_from_log(log, CUSTOMER_ATTRIBUTES, "updated_at", CUSTOMER_VERSIONS, order=["_batch"], bucket=None)
+    return versions.select(*_names(schemas.DIM_CUSTOMER))
+
+
 def snapshot_customers(dim: DataFrame | None, clean: DataFrame, check_cols: Sequence[str]) -> DataFrame:
     """As `load_customers`, but only a change in `check_cols` opens a version; others stay as first seen."""
     if dim is None:
@@ -122,14 +135,15 @@ def build_sales_warehouse(
     ids_trimmed: bool = False,
     strategy: str | None = None,
 ) -> SalesWarehouse:
-    """Staging to star schema: calendar, products, customer batches in turn, then the fact.
+    """Staging to star schema: calendar, products, customer versions, then the fact.
 
-    The customer dimension is written after each batch (its true size then decides how
+    The customer dimension is written at its boundary (its true size then decides how
     facts join it); the fact stays lazy for the caller to write or to query.
     """
-    dim_customer: DataFrame | None = None
-    for batch in customer_batches:
-        dim_customer = materialize(load_customers(dim_customer, clean_customers(batch)), "dim_customer")
+    dim_customer = materialize(customers_from_batches([clean_customers(b) for b in customer_batches]), "dim_customer")
+    if strategy is None:  # at most one version per batch
+        small = len(customer_batches) <= MANY_VERSIONS and fits_broadcast(dim_customer)
+        strategy = "broadcast" if small else "merge"
     dim_product = load_products(None, clean_products(stg_products))
     orders = clean_orders(stg_orders, order_tiebreak, ids_trimmed)
     facts = sales_facts(orders, dim_customer, dim_product, late=late, take=take, strategy=strategy)
