@@ -83,12 +83,14 @@ def sales_facts(
     strategy: str | None = None,
     created_at: Column | None = None,
     dense: bool = False,
+    start: int | Column | None = None,
 ) -> DataFrame:
     """New rows of the sales fact for cleaned order lines.
 
     Each line gets the customer version in force at its time (``late=True``: with the current,
     then any version as fallback, and margin 0 for net <= 0). Lines already in `loaded` are left out
-    before the joins. `take` adds customer columns. Fact keys are unique, and gap-free with ``dense=True``.
+    before the joins. `take` adds customer columns. Fact keys are unique, and gap-free with ``dense=True``;
+    they follow `start`, by default the largest key in `loaded`.
     """
     if loaded is not None:
         orders = not_loaded(orders, loaded, ["order_id", "order_line_number"])
@@ -101,7 +103,8 @@ def sales_facts(
             "created_at": created_at if created_at is not None else F.current_timestamp(),
         }
     )
-    start = max_key(loaded, "sales_fact_key") if loaded is not None else 0
+    if start is None:
+        start = max_key(loaded, "sales_fact_key") if loaded is not None else 0
     if dense:
         keyed = dense_key(measured, "sales_fact_key", ["order_id", "order_line_number"], start)
     else:
