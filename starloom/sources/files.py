@@ -45,6 +45,7 @@ def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, pattern
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _CORRUPT)
+        .option("columnPruning", False)  # a pruned parse would not notice lines of the wrong length
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
     )

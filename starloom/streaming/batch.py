@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
+from pyspark.errors import (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+    NumberFormatException, SparkRuntimeException,
+)
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,6 +31,11 @@ from ..session import materialize
 from ..sources.sinks import replicate
 from ..sources.store import TableStore, Transaction
 
+# Errors the batch itself causes; anything else (a lost executor, a full disk) is raised and the batch replayed.
+_DATA_ERRORS = (
+    AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
+    NumberFormatException, SparkRuntimeException, ValueError,
+)
 _SALES_PARTS = ("customers", "products", "orders")
 _KEYS = {"orders": ("order_id",), "customers": ("customer_id", "raw_customer_id"), "products": ("product_id", "raw_product_id")}
 
@@ -187,8 +196,8 @@ def process_batch(
     """Apply one micro-batch: returns "skipped", "completed" or "failed".
 
     All tables, the audit rows and the batch number are published by one commit, so a batch
-    that is replayed after a crash is either skipped whole or done whole. A batch that raises is
-    kept as JSON in `quarantine` with a failed audit row, and the stream goes on.
+    that is replayed after a crash is either skipped whole or done whole. A batch whose data
+    cannot be processed is kept as JSON in `quarantine` with a failed audit row, and the stream goes on.
     """
     if store.manifest()["batches"].get(stream, -1) >= batch_id:
         return "skipped"
@@ -201,7 +210,7 @@ def process_batch(
         if insights:
             _insights(txn, run_id, as_of)
         txn.append("pipeline_runs", run_finished(spark, run_id, run_type, status, counters))
-    except Exception as error:  # the batch is set aside whatever went wrong with it
+    except _DATA_ERRORS as error:
         status = "failed"
         txn = store.begin()
         kept = batch.select(F.lit(run_id).alias("pipeline_run_id"), F.to_json(F.struct("*")).alias("record"))
