@@ -14,11 +14,11 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..operators.clean import (
-    clean_customers, clean_orders, clean_products, normalise_headers, order_reject_rules, route, split_rejects,
+    CUSTOMER_ATTRIBUTES, clean_customers, clean_orders, clean_products, normalise_headers, order_reject_rules, route, split_rejects,
     stage_customers, stage_news, stage_orders, stage_products, stage_stocks, stage_weather,
 )
 from ..operators.joins import not_loaded, only_known
-from ..operators.keys import dedupe_latest, max_key
+from ..operators.keys import dedupe_latest
 from ..operators.measures import high_value_alerts
 from ..operators.quality import failure_alerts, reject_log, run_assertions, staging_checks
 from ..plans import domains
@@ -36,6 +36,8 @@ _DATA_ERRORS = (
     AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
     NumberFormatException, SparkRuntimeException, ValueError,
 )
+_INFERRED_SINCE = "1900-01-01 00:00:00"
+_PRODUCT_MARKS = ("product_name", "category", "subcategory", "cost_price")
 _SALES_PARTS = ("customers", "products", "orders")
 _KEYS = {"orders": ("order_id",), "customers": ("customer_id", "raw_customer_id"), "products": ("product_id", "raw_product_id")}
 
@@ -87,34 +89,48 @@ def _or_empty(txn: Transaction, name: str, ddl: str) -> DataFrame:
     return table if table is not None else schemas.empty(txn.store.spark, ddl)
 
 
+def _with_inferred(frame: DataFrame, keys: tuple[str, ...], described_by: tuple[str, ...], stage, known: DataFrame | None, key: str, as_of) -> DataFrame:
+    """Staged members of a batch: described ones, and bare ids that nobody knows yet.
+
+    An order row may name a customer or product without describing it. Such an id never
+    changes a known member; an unknown one becomes a member that any later description supersedes.
+    """
+    marks = [c for c in described_by if c in frame.columns]
+    described = reduce(lambda a, b: a | b, [F.col(c).isNotNull() for c in marks], F.lit(False))
+    staged = stage(frame.filter(described), as_of)
+    bare = stage(frame.filter(~described).select(*[k for k in keys if k in frame.columns]), F.lit(_INFERRED_SINCE).cast("timestamp"))
+    bare = not_loaded(bare.dropDuplicates([key]), staged, [key])
+    if known is not None:
+        bare = not_loaded(bare, known, [key])
+    return staged.unionByName(bare)
+
+
 def _load_sales(parts: dict[str, DataFrame], txn: Transaction, run_id: str, counters: dict[str, int], as_of) -> None:
     if not any(p in parts for p in _SALES_PARTS):
         return
     if "customers" in parts:
-        staged = _append(txn, "stg_customers", stage_customers(parts["customers"], as_of), counters, "records_loaded")
-        txn.replace("dim_customer", load_customers(txn.read("dim_customer"), clean_customers(staged)))
+        dim = txn.read("dim_customer")
+        known = dim.select(F.col("customer_id").alias("raw_customer_id")) if dim is not None else None
+        members = _with_inferred(parts["customers"], _KEYS["customers"], CUSTOMER_ATTRIBUTES, stage_customers, known, "raw_customer_id", as_of)
+        staged = _append(txn, "stg_customers", members, counters, "records_loaded")
+        txn.replace("dim_customer", load_customers(dim, clean_customers(staged)))
     if "products" in parts:
-        staged = _append(txn, "stg_products", stage_products(parts["products"], as_of), counters, "records_loaded")
-        txn.replace("dim_product", load_products(txn.read("dim_product"), clean_products(staged)))
-    if "orders" in parts:
-        valid, rejects = split_rejects(stage_orders(parts["orders"], as_of), order_reject_rules())
-        staged = _append(txn, "stg_orders", valid, counters, "records_loaded")
-        log = reject_log(rejects, "stg_orders", run_id, ["order_id", "customer_id", "product_id", "quantity"], as_of)
-        _append(txn, "data_quality_log", log, counters, "records_rejected")
-        txn.append("pending_orders", staged)
-    customers, products, waiting = (txn.read(n) for n in ("dim_customer", "dim_product", "pending_orders"))
-    if waiting is None or customers is None or products is None:
+        dim = txn.read("dim_product")
+        known = dim.select(F.col("product_id").alias("raw_product_id")) if dim is not None else None
+        members = _with_inferred(parts["products"], _KEYS["products"], _PRODUCT_MARKS, stage_products, known, "raw_product_id", as_of)
+        staged = _append(txn, "stg_products", members, counters, "records_loaded")
+        txn.replace("dim_product", load_products(dim, clean_products(staged)))
+    if "orders" not in parts:
+        return
+    valid, rejects = split_rejects(stage_orders(parts["orders"], as_of), order_reject_rules())
+    staged = _append(txn, "stg_orders", valid, counters, "records_loaded")
+    log = reject_log(rejects, "stg_orders", run_id, ["order_id", "customer_id", "product_id", "quantity"], as_of)
+    _append(txn, "data_quality_log", log, counters, "records_rejected")
+    customers, products = txn.read("dim_customer"), txn.read("dim_product")
+    if customers is None or products is None:  # no line of this batch names both
         return
-    # lines whose customer or product has not arrived yet stay pending for a later batch
-    lines = clean_orders(waiting)
-    loaded = txn.read("fact_sales")
-    if loaded is not None:
-        lines = not_loaded(lines, loaded, ["order_id", "order_line_number"])
-    lines = materialize(lines, "lines")
-    start = max_key(loaded, "sales_fact_key") if loaded is not None else 0
-    facts = sales_facts(lines, customers, products, late=True, created_at=as_of, dense=True, start=start)
+    facts = sales_facts(clean_orders(staged), customers, products, txn.read("fact_sales"), late=True, created_at=as_of, dense=True)
     written = _append(txn, "fact_sales", facts, counters, "records_transformed")
-    txn.replace("pending_orders", not_loaded(lines, written, ["order_id", "order_line_number"]))
     alerts = high_value_alerts(vip_orders(written, customers, ["created_at", "order_date_key", "order_id", "order_line_number"]))
     txn.append("alerts", _alert_rows(alerts, run_id))
 

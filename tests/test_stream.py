@@ -21,25 +21,30 @@ CUSTOMER = {"customer_id": "C1", "first_name": "Ann", "last_name": "Lee", "custo
 PRODUCT = {"product_id": "P1", "product_name": "Pen", "cost_price": "1.00", "updated_at": "2024-01-01 00:00:00"}
 
 
-def test_late_dimensions_replay_and_incremental_load(spark, tmp_path):
+def test_bare_ids_late_orders_replay_and_incremental_load(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
-    run = lambda i, *records: process_batch(wide(spark, *records), i, store, as_of=F.lit(CLOCK))
-    # the order arrives before its customer and product and waits for them
-    first = {k: v for k, v in ORDER.items()}
-    assert run(0, first) == "completed"
-    assert store.read("pending_orders") is not None or store.read("fact_sales") is None
-    assert run(1, {**CUSTOMER, **PRODUCT}) == "completed"
-    # it happened before the first customer version and still finds it; the alert names the customer
-    fact = store.read("fact_sales").collect()
-    assert [(r.order_id, float(r.net_amount), r.order_date_key) for r in fact] == [("O1", 1200.0, 20230601)]
-    assert store.read("pending_orders").count() == 0
+
+    def run(i, *records):
+        return process_batch(wide(spark, *records), i, store, as_of=F.lit(CLOCK))
+
+    full = {**CUSTOMER, **PRODUCT, **ORDER}
+    # older than the first customer version, still finds it; the alert names the customer
+    assert run(0, full) == "completed"
+    assert [(r.order_id, float(r.net_amount), r.order_date_key) for r in store.read("fact_sales").collect()] == [("O1", 1200.0, 20230601)]
     assert "Ann Lee" in store.read("alerts").first().message
-    # the same line again, and a new one
-    assert run(2, {**CUSTOMER, **PRODUCT, **ORDER}, {**CUSTOMER, **PRODUCT, **ORDER, "order_line_number": "2"}) == "completed"
+    # the same line again and a new one, without any description of the known customer and product
+    assert run(1, ORDER, {**ORDER, "order_line_number": "2"}) == "completed"
     assert sorted((r.order_line_number, r.sales_fact_key) for r in store.read("fact_sales").collect()) == [(1, 1), (2, 2)]
-    assert store.read("dim_customer").count() == 1
+    assert [r.first_name for r in store.read("dim_customer").collect()] == ["Ann"]
+    assert [float(r.cost_price) for r in store.read("dim_product").collect()] == [1.0]
+    # an unknown bare customer loads its order; the description that follows supersedes it
+    assert run(2, {**ORDER, "order_id": "O2", "customer_id": "C2"}) == "completed"
+    assert run(3, {**CUSTOMER, "customer_id": "C2"}) == "completed"
+    versions = store.read("dim_customer").filter("customer_id = 'C2'").orderBy("effective_start_date").collect()
+    assert [(v.first_name, v.is_current) for v in versions] == [("", False), ("Ann", True)]
+    assert store.read("fact_sales").count() == 3
     version = store.manifest()["version"]
-    assert run(2, ORDER) == "skipped"
+    assert run(3, ORDER) == "skipped"
     assert store.manifest()["version"] == version
 
 
