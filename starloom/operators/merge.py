@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import materialize
 from .joins import CUSTOMER_VERSIONS, Versioned, not_loaded
 from .keys import changed, dense_key, max_key, neighbour
 
@@ -131,16 +132,19 @@ def scd2_merge(
 ) -> DataFrame:
     """The dimension after a batch: history untouched, changed versions closed, new versions open.
 
-    New versions get keys after the largest one so far.
+    Closed and new versions, which are few beside the dimension, are written once; the
+    dimension itself is then passed through an anti join with the closed keys. New versions get keys
+    after the largest one so far.
     """
     changes = scd2_changes(dim, staged, tracked, ts, spec)
+    delta = materialize(changes.filter("action <> 'keep'"), "scd2-delta")
+    closed = delta.filter("action = 'expire'").drop("action")
     inserted = dense_key(
-        changes.filter("action = 'insert'").drop(spec.surrogate),
+        delta.filter("action = 'insert'").drop("action", spec.surrogate),
         spec.surrogate, [spec.key, spec.start], max_key(dim, spec.surrogate),
     )
-    history = dim.filter(~F.coalesce(F.col(spec.current), F.lit(False)))
-    others = changes.filter("action <> 'insert'").drop("action")
-    return history.unionByName(others).unionByName(_like(inserted, dim))
+    untouched = dim.join(closed.select(spec.surrogate), spec.surrogate, "left_anti").select(*dim.columns)
+    return untouched.unionByName(closed).unionByName(_like(inserted, dim))
 
 
 def change_points(

@@ -36,11 +36,8 @@ def most_frequent(df: DataFrame, keys: Sequence[str], value: str, out: str) -> D
     Counts per value first, so a hot key is reduced on the map side to its distinct values.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    # the smallest value among the most frequent: order by count, then by value reversed
-    best = counts.groupBy(*keys).agg(F.max("_n").alias("_best"))
-    return (
-        counts.join(best, list(keys)).filter("_n = _best").groupBy(*keys).agg(F.min(value).alias(out))
-    )
+    first = F.min(F.struct((-F.col("_n")).alias("n"), F.col(value).alias("v")))
+    return counts.groupBy(*keys).agg(first.alias("_first")).select(*keys, F.col("_first.v").alias(out))
 
 
 def _sample(df: DataFrame, columns: Sequence[Sequence[str]], total: int, cells: int) -> list:

@@ -85,17 +85,16 @@ def cohort_retention(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFra
         activity = activity.groupBy("customer_id", "activity_month").agg(F.sum("spend").alias("spend"))
     cohort = F.min("activity_month").over(W.partitionBy(member))
     tagged = activity.withColumn("cohort_month", cohort)
-    # the first month's members are the cohort
+    # whoever is active in the first month is the cohort; its size travels with that month's cell
+    founder = F.when(F.col("activity_month") == F.col("cohort_month"), F.col("customer_id"))
     cells = tagged.groupBy("cohort_month", "activity_month").agg(
-        F.count(F.lit(1)).alias("active_retained_customers"), F.sum("spend").alias("_spend")
-    )
-    size = (
-        tagged.filter("activity_month = cohort_month")
-        .groupBy("cohort_month")
-        .agg(F.count_distinct("customer_id").alias("total_cohort_customers"))
+        F.count(F.lit(1)).alias("active_retained_customers"),
+        F.sum("spend").alias("_spend"),
+        (F.count(founder) if grain == "customer_id" else F.count_distinct(founder)).alias("_founders"),
     )
+    size = F.max("_founders").over(W.partitionBy("cohort_month"))  # one row per month of a cohort
     return (
-        cells.join(size, "cohort_month")
+        cells.withColumn("total_cohort_customers", size)
         .select(
             "cohort_month", "total_cohort_customers", "activity_month", "active_retained_customers",
             percent("active_retained_customers", "total_cohort_customers").alias("retention_rate_pct"),
@@ -107,9 +106,12 @@ def cohort_retention(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFra
 
 
 def rfm_metrics(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -> DataFrame:
-    """Recency, frequency and spend of customers through their current version."""
-    last_day = _dated(fact.select("order_date_key"), dim_date, ["full_date"]).agg(F.max("full_date")).scalar()
-    per_key = (
+    """Recency, frequency and spend of customers through their current version.
+
+    The fact is read once, into a written table of one row per customer version; the last
+    day of the warehouse and the metrics both come from that.
+    """
+    per_key = materialize(
         _dated(fact, dim_date, ["full_date"])
         .groupBy("customer_key")
         .agg(
@@ -117,8 +119,10 @@ def rfm_metrics(fact: DataFrame, dim_customer: DataFrame, dim_date: DataFrame) -
             F.count_distinct("order_id").alias("frequency_orders"),
             F.sum("net_amount").alias("monetary_spend"),
             F.sum("profit_amount").alias("total_customer_profit"),
-        )
+        ),
+        "rfm",
     )
+    last_day = per_key.agg(F.max("last_date")).scalar()
     people = current_only(dim_customer).select(
         "customer_key", "customer_id", full_name("first_name", "last_name").alias("customer_name"), "customer_tier", "city", "country"
     )

@@ -153,7 +153,7 @@ def partitioned_write(spark, sf_dir) -> DataFrame:
     """Fact partitioned by a range bucket of the date key and clustered; the read prunes partitions."""
     path = scratch_path(spark, "clustered")
     fact = sales(spark, sf_dir).fact_sales
-    write_clustered(fact, path, base=19950101, partitions_per_bucket=2)
+    write_clustered(fact, path, base=19950101)
     back = spark.read.schema(fact.schema.add("date_bucket", "integer")).parquet(path)
     recent = back.filter("date_bucket >= 400")
     return recent.groupBy("date_bucket").agg(F.count(F.lit(1)).alias("n"), sum_money("net_amount").alias("net_amount"))

@@ -47,7 +47,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/starloom/{name}-{uuid.uuid4().hex}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/starloom/{spark.sparkContext.applicationId}"
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote below the shared folder; frames that read it become invalid."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:

@@ -98,17 +98,16 @@ def write_csv(df: DataFrame, path: str) -> None:
 
 def write_clustered(
     df: DataFrame, path: str, date_key: str = "order_date_key", cluster: Sequence[str] = ("customer_key", "product_key"),
-    base: int = 20240101, width: int = 100, bucket: str = "date_bucket", partitions_per_bucket: int = 1,
+    base: int = 20240101, width: int = 100, bucket: str = "date_bucket",
 ) -> None:
     """Fact write partitioned by a range bucket of the date key and sorted by the cluster columns.
 
-    Rows meet in (bucket, hash of the cluster columns) tasks, so a bucket with a large
-    share of the rows is still written by `partitions_per_bucket` tasks.
+    Rows are rebalanced by bucket: the adaptive plan splits a bucket that holds a large share of
+    them over several tasks and packs small buckets together.
     """
     placed = df.withColumn(bucket, F.floor((F.col(date_key) - base) / width).cast("int"))
-    salt = F.pmod(F.xxhash64(*cluster), F.lit(partitions_per_bucket))
     (
-        placed.withColumn("_salt", salt).repartition(bucket, "_salt").drop("_salt")
+        placed.hint("rebalance", bucket)
         .sortWithinPartitions(bucket, *cluster)
         .write.mode("errorifexists").partitionBy(bucket).parquet(path)
     )

@@ -36,7 +36,7 @@ def test_csv_export_round_trip(spark, tmp_path, rows):
 
 def test_clustered_write_prunes(spark, tmp_path):
     df = spark.range(1000).select((F.lit(20240101) + F.col("id")).cast("int").alias("order_date_key"), F.col("id").alias("customer_key"), F.lit(1).alias("product_key"))
-    write_clustered(df, str(tmp_path / "f"), partitions_per_bucket=2)
+    write_clustered(df, str(tmp_path / "f"))
     back = spark.read.parquet(str(tmp_path / "f"))
     assert back.count() == 1000
     plan = back.filter("date_bucket = 3")._jdf.queryExecution().executedPlan().toString()
