@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-from . import jaccard, language, packing, secret_scan, tokenfile, toxicity
+from . import fingerprints, hnsw, jaccard, language, packing, pieces, quality, secret_scan, tokenfile, toxicity
 from .oracle import ORACLE
 
 QUERIES = {
     "op1_secret_scan": secret_scan.op1_secret_scan,
+    "op2_embedding_dedup": hnsw.op2_embedding_dedup,
     "op3_token_file": tokenfile.op3_token_file,
     "op4_toxicity": toxicity.op4_toxicity,
     "op5_language": language.op5_language,
     "op6_ngram_jaccard": jaccard.op6_ngram_jaccard,
+    "op7_sentencepiece": pieces.op7_sentencepiece,
+    "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
+    "op10_fingerprints": fingerprints.op10_fingerprints,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
