@@ -7,7 +7,7 @@ bin share the loan. Of each value BITS low bits are kept, 16 bins to a 64-bit nu
 cases; likeness is the share of equal bins corrected for that, max(0, (m - 2^-BITS) / (1 - 2^-BITS)).
 
 Null text is empty; a text without words has the empty fingerprint, of likeness 1 to another empty one and 0 to any other. The next document is
-the one before in the order of doc_id, a null id counting as the smallest and texts of one id in the order of their hashes; rows that
+the one before in the order of doc_id, a null id counting as the smallest number (which stands for it and is no id itself) and texts of one id in the order of their hashes; rows that
 repeat id and text are one document and get one result each. After the last comes the first; a single document follows itself. Extra columns
 are ignored.
 """
@@ -112,15 +112,16 @@ def fingerprints(documents: DataFrame) -> DataFrame:
     most a third of all text. Rows that repeat id and text would multiply heads; they are counted and heads made distinct.
     """
     body = F.coalesce("text", F.lit(""))
-    docs = documents.select("doc_id", F.coalesce("doc_id", F.lit(_LOWEST)).alias("k"), F.xxhash64(body).alias("h"), F.char_length(body).cast("long").alias("n"), body.alias("text"))
-    after = materialize(_successors(docs.select("k", "h", "n")), "successors")
+    # Both joins read the same three columns, so that they share one exchange of the texts.
+    docs = documents.select(F.coalesce("doc_id", F.lit(_LOWEST)).alias("k"), F.xxhash64(body).alias("h"), body.alias("text"))
+    after = materialize(_successors(docs.select("k", "h", F.char_length("text").cast("long").alias("n"))), "successors")
     wanted = after.select(F.col("next_k").alias("k"), F.col("next_h").alias("h"), F.col("k").alias("for_k"), F.col("h").alias("for_h"), F.floor(F.col("n") / 3).cast("int").alias("take"))
-    heads = docs.select("k", "h", "text").join(wanted, ["k", "h"]).select(F.col("for_k").alias("k"), F.col("for_h").alias("h"), F.expr("left(text, take)").alias("head"))
+    heads = docs.join(wanted, ["k", "h"]).select(F.col("for_k").alias("k"), F.col("for_h").alias("h"), F.expr("left(text, take)").alias("head"))
     heads = heads.groupBy("k", "h").agg(F.min("head").alias("head"))
-    own = docs.join(heads, ["k", "h"]).join(after.select("k", "h", "next_k", "next_h"), ["k", "h"])
+    own = docs.join(heads, ["k", "h"]).join(after, ["k", "h"])
     own = own.withColumn("edited", F.concat(F.expr("left(text, cast(n - floor(n / 3) as int))"), "head")).drop("head")
     own = _with_fingerprint(_with_fingerprint(own, "text", "own"), "edited", "changed")
-    own = own.select("doc_id", "k", "h", "n", "next_k", "next_h", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed")
+    own = own.select(F.nullif("k", F.lit(_LOWEST)).alias("doc_id"), "k", "h", "n", "next_k", "next_h", F.sha2("edited", 256).alias("edited_sha256"), "own", "changed")
     own = materialize(own, "fingerprints")
     following = own.groupBy(F.col("k").alias("next_k"), F.col("h").alias("next_h")).agg(F.first("own").alias("following"))
     out = own.join(following, ["next_k", "next_h"])
