@@ -158,7 +158,7 @@ def train(documents: DataFrame) -> Model | None:
 
     def calibration(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame({"lang": batch["lang"], "logits": [_logits(t, shared.value).tolist() for t in batch["text"]]})
+            yield pd.DataFrame({"lang": batch["lang"], "logits": pd.Series([_logits(t, shared.value).tolist() for t in batch["text"]], dtype=object, index=batch.index)})
 
     held = sample.where(apart).mapInPandas(calibration, "lang string, logits array<double>").toPandas()
     if len(held) and len(languages) > 1:
