@@ -66,13 +66,13 @@ def null_tokens_to_null(value, tokens: Sequence[str]) -> Column:
 
 
 def prefixed_id(tag: str, *parts) -> Column:
-    """Short id that is a function of the natural key, so a replay gives the same id."""
+    """Id that is a function of the natural key, so a replay gives the same id; the whole digest, so that keys don't meet."""
     joined = F.concat_ws("\u0001", *[as_column(p).cast("string") for p in parts])
-    return F.concat(F.lit(tag + "-"), F.upper(F.substring(F.sha2(joined, 256), 1, 8)))
+    return F.concat(F.lit(tag + "-"), F.upper(F.sha2(joined, 256)))
 
 
 def random_id(tag: str | None = None) -> Column:
     uuid = F.expr("uuid()")
     if tag is None:
         return uuid
-    return F.concat(F.lit(tag + "-"), F.upper(F.substring(uuid, 1, 8)))
+    return F.concat(F.lit(tag + "-"), F.upper(uuid))

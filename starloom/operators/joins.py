@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..session import fits_broadcast, materialize
 
+_FOREVER = "9999-12-31 00:00:00"
 MANY_VERSIONS = 64  # above this, testing every version of an id per fact row is too slow
 
 
@@ -127,6 +128,29 @@ def _in_range(ts: Column, start: Column, end: Column) -> Column:
     return (ts >= start) & (end.isNull() | (ts < end))
 
 
+def one_in_force(dim: DataFrame, spec: Versioned = CUSTOMER_VERSIONS) -> DataFrame:
+    """Versions with `_from` and `_to` (NULL: open), cut so that at most one of an id is in force at any time.
+
+    Of several the one that started last wins, then the one with the largest surrogate key, as ranking by start would say; after a
+    short version inside a long one the long one goes on. Empty versions never are in force and go. Only ids whose versions
+    overlap are cut; their versions meet the cuts of the same id alone.
+    """
+    start, end = F.col(spec.start), F.col(spec.end)
+    far = F.coalesce(end, F.lit(_FOREVER).cast(dim.schema[spec.end].dataType))
+    live = dim.filter(start.isNotNull() & (end.isNull() | (end > start)))
+    earlier = W.partitionBy(spec.key).orderBy(spec.start, spec.surrogate).rowsBetween(W.unboundedPreceding, -1)
+    mixed = live.withColumn("_reach", F.max(far).over(earlier)).filter(F.col("_reach") > start).select(spec.key).distinct()
+    alone = live.join(mixed, spec.key, "left_anti").withColumns({"_from": start, "_to": end})
+    several = live.join(mixed, spec.key, "left_semi").withColumn("_far", far)
+    cuts = several.select(F.col(spec.key).alias("_id"), F.explode(F.array(start, F.col("_far"))).alias("_from")).distinct()
+    cells = cuts.withColumn("_until", F.lead("_from").over(W.partitionBy("_id").orderBy("_from"))).filter("_until is not null")
+    inside = (F.col("_id") == F.col(spec.key)) & (start <= F.col("_from")) & (F.col("_far") > F.col("_from"))
+    best = F.max_by(F.struct(*dim.columns), F.struct(spec.start, spec.surrogate))
+    won = cells.join(several, inside).groupBy("_id", "_from", "_until").agg(best.alias("_best"))
+    until = F.when(F.col("_until") < F.lit(_FOREVER).cast(dim.schema[spec.end].dataType), F.col("_until"))
+    return alone.unionByName(won.select("_best.*", "_from", until.alias("_to")))
+
+
 def _few_versions(dim: DataFrame, spec: Versioned) -> bool:
     most = dim.groupBy(spec.key).count().agg(F.max("count")).first()[0]
     return (most or 0) <= MANY_VERSIONS
@@ -212,22 +236,21 @@ def point_in_time_join(
 ) -> DataFrame:
     """Inner join to the version with ``start <= ts < end`` (an open end is NULL).
 
-    strategy "broadcast" ships the dimension to the facts, "merge" is `version_as_of`.
-    By default the dimension is broadcast only if its size estimate is under the
+    Where versions overlap the fact gets one of them, see `one_in_force`, so the strategy never changes the rows.
+    strategy "broadcast" ships the dimension to the facts, "merge" is `version_as_of`. By default the dimension is broadcast only if its size estimate is under the
     session's threshold and no id has many versions.
     """
     names = list(dict.fromkeys([spec.surrogate, *take]))
-    slim = dim.select(spec.key, spec.start, spec.end, *names)
+    slim = dim.select(*dict.fromkeys([spec.key, spec.start, spec.end, *names]))
     if strategy is None:
         strategy = "broadcast" if fits_broadcast(slim) and _few_versions(slim, spec) else "merge"
+    slim = one_in_force(slim, spec)
     if strategy == "broadcast":
-        on = (F.col(f"f.{fact_key}") == F.col(f"d.{spec.key}")) & _in_range(
-            F.col(f"f.{ts}"), F.col(f"d.{spec.start}"), F.col(f"d.{spec.end}")
-        )
+        on = (F.col(f"f.{fact_key}") == F.col(f"d.{spec.key}")) & _in_range(F.col(f"f.{ts}"), F.col("d._from"), F.col("d._to"))
         return fact.alias("f").join(F.broadcast(slim.alias("d")), on).select(
             *[F.col(f"f.{c}") for c in fact.columns], *[F.col(f"d.{n}") for n in names]
         )
-    versioned = version_as_of(fact, dim, fact_key, ts, spec, take, "_version", bucket)
+    versioned = version_as_of(fact, slim, fact_key, ts, replace(spec, start="_from", end="_to"), take, "_version", bucket)
     return versioned.filter("_version is not null").select(
         *fact.columns, *[F.col(f"_version.{n}").alias(n) for n in names]
     )
@@ -250,23 +273,24 @@ def asof_with_fallback(
     `match` says which applied (1, 2 or 3); facts with an unknown id are dropped.
     """
     names = list(dict.fromkeys([spec.surrogate, *take]))
-    slim = dim.select(spec.key, spec.start, spec.end, spec.current, *names)
+    slim = dim.select(*dict.fromkeys([spec.key, spec.start, spec.end, spec.current, *names]))
     if strategy is None:
         strategy = "broadcast" if fits_broadcast(slim) and _few_versions(slim, spec) else "merge"
     best = F.struct(F.coalesce(F.col(spec.current), F.lit(False)).alias("c"), F.col(spec.start).alias("s"), F.col(spec.surrogate).alias("k"))
     fallback = slim.groupBy(spec.key).agg(
         F.max_by(F.struct(F.coalesce(F.col(spec.current), F.lit(False)).alias("_cur"), *names), best).alias("_any")
     )
+    cut = one_in_force(slim, spec)
     if strategy == "broadcast":
         # a left join keeps late facts; at most one interval matches
-        slim_v = slim.select(spec.key, F.struct(F.col(spec.start).alias("start"), F.col(spec.end).alias("end"), *names).alias("_version"))
+        slim_v = cut.select(spec.key, F.struct(F.col("_from").alias("start"), F.col("_to").alias("end"), *names).alias("_version"))
         on = (F.col(f"f.{fact_key}") == F.col(f"d.{spec.key}")) & _in_range(
             F.col(f"f.{ts}"), F.col("d._version.start"), F.col("d._version.end")
         )
         versioned = fact.alias("f").join(F.broadcast(slim_v.alias("d")), on, "left").select("f.*", "d._version")
         fallback = F.broadcast(fallback)
     else:
-        versioned = version_as_of(fact, dim, fact_key, ts, spec, take, "_version", bucket)
+        versioned = version_as_of(fact, cut, fact_key, ts, replace(spec, start="_from", end="_to"), take, "_version", bucket)
     known = versioned.join(
         fallback.withColumnRenamed(spec.key, "_fallback_id"), F.col(fact_key) == F.col("_fallback_id")
     )

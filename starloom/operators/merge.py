@@ -42,10 +42,13 @@ def upsert(
 
 
 def insert_new(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], surrogate: str
+    target: DataFrame, source: DataFrame, keys: Sequence[str], surrogate: str, known: DataFrame | None = None
 ) -> DataFrame:
-    """Rows of `source` (one per natural key) that the dimension lacks, with keys after its maximum."""
-    fresh = not_loaded(source, target, keys)
+    """Rows of `source` (one per natural key) that the dimension lacks, with keys after its maximum.
+
+    `known` are the rows of the dimension that count as present (all by default); keys follow the maximum over all rows.
+    """
+    fresh = not_loaded(source, target if known is None else known, keys)
     keyed = dense_key(fresh, surrogate, keys, max_key(target, surrogate))
     return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
@@ -91,11 +94,14 @@ def scd2_changes(
 
     One full outer join of current versions and batch; each id yields its untouched row
     ("keep"), or its closed row ("expire") and its successor ("insert"), or a first version
-    ("insert"). A staged row older than the current version is stale and changes nothing.
+    ("insert"). Only `tracked` columns are compared; a new version takes every column the batch has, and the
+    others from the version before. A staged row older than the current version is stale and changes nothing.
     """
     current = dim.filter(F.col(spec.current))
     old = current.select(F.col(spec.key).alias("_id"), F.struct(*dim.columns).alias("_o"))
-    new = staged.select(F.col(spec.key).alias("_sid"), F.col(ts).alias("_ts"), F.struct(*tracked).alias("_n"))
+    own = {spec.key, spec.surrogate, spec.start, spec.end, spec.current}
+    given = list(dict.fromkeys([*tracked, *[c for c in dim.columns if c in staged.columns and c not in own]]))
+    new = staged.select(F.col(spec.key).alias("_sid"), F.col(ts).alias("_ts"), F.struct(*given).alias("_n"))
     joined = old.join(new, F.col("_id") == F.col("_sid"), "full")
 
     differs = F.lit(False)
@@ -112,7 +118,7 @@ def scd2_changes(
 
     kept = row("keep")
     expired = row("expire", **{spec.end: F.col("_ts"), spec.current: F.lit(False)})
-    fresh_values = {c: F.col(f"_n.{c}") for c in tracked}
+    fresh_values = {c: F.col(f"_n.{c}") for c in given}
     fresh_values |= {
         spec.key: F.col("_sid"),
         spec.surrogate: F.lit(None),
@@ -120,8 +126,6 @@ def scd2_changes(
         spec.end: F.lit(None),
         spec.current: F.lit(True),
     }
-    for c in dim.columns:
-        fresh_values.setdefault(c, F.lit(None))
     fresh = row("insert", **fresh_values)
     rows = F.when(replaced, F.array(expired, fresh)).when(known, F.array(kept)).otherwise(F.array(fresh))
     return joined.select(F.explode(rows).alias("_r")).select("_r.*")

@@ -32,12 +32,11 @@ ARTICLE_FACT = (
 
 
 def load_companies(dim: DataFrame, raw: DataFrame) -> DataFrame:
-    """One current company per ticker not yet known, valid from its first ingest."""
+    """One current company per ticker without a current row, valid from its first ingest, with keys after those of all rows."""
     firsts = raw.groupBy("ticker").agg(F.min("ingested_at").alias("effective_start_date")).select(
         "ticker", F.col("ticker").alias("company_name"), "effective_start_date", F.lit(True).alias("is_current")
     )
-    known = current_only(dim)
-    fresh = insert_new(known, firsts, ["ticker"], "company_key")
+    fresh = insert_new(dim, firsts, ["ticker"], "company_key", known=current_only(dim))
     return dim.unionByName(fresh)
 
 

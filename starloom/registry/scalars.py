@@ -111,7 +111,7 @@ def json_functions(spark, sf_dir) -> DataFrame:
 
 
 @query("record_ids", """
-SELECT event_id, 'EVT-' || upper(substring(sha256(CAST(event_id AS VARCHAR) || chr(1) || event_type), 1, 8)) AS natural_id, CAST(36 AS BIGINT) AS uuid_length FROM events""")
+SELECT event_id, 'EVT-' || upper(sha256(CAST(event_id AS VARCHAR) || chr(1) || event_type)) AS natural_id, CAST(36 AS BIGINT) AS uuid_length FROM events""")
 def record_ids(spark, sf_dir) -> DataFrame:
     """Ids from the natural key, and random ids (only their length is comparable)."""
     e = B.table(spark, sf_dir, "events")

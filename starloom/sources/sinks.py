@@ -52,8 +52,8 @@ def preview(
 def replicate(source: TableStore, target: TableStore | None, names: Sequence[str] = REPLICATED_TABLES) -> DataFrame:
     """Copy whole tables to another store in one commit and return (table_name, source_rows, target_rows).
 
-    Without a target this is a dry run that only counts. Missing tables are skipped, and an empty
-    table leaves the target's copy as it is. Counts come from the written files, not from the copy job.
+    Without a target this is a dry run that only counts. Missing tables are skipped, and an emptied
+    table empties the target's copy. Counts come from the written files, not from the copy job.
     """
     tables = {n: source.read(n) for n in names}
     present = {n: t for n, t in tables.items() if t is not None}
@@ -62,8 +62,7 @@ def replicate(source: TableStore, target: TableStore | None, names: Sequence[str
         return counted.withColumn("target_rows", F.lit(None).cast("bigint"))
     txn = target.begin()
     for name, table in present.items():
-        if not table.isEmpty():
-            txn.replace(name, table)
+        txn.replace(name, table)
     txn.commit()
     copied = table_counts({n: target.read(n) for n in present})
     return counted.join(copied.withColumnRenamed("row_count", "target_rows"), "table_name")

@@ -231,7 +231,7 @@ def process_batch(
         txn = store.begin()
         kept = batch.select(F.lit(run_id).alias("pipeline_run_id"), F.to_json(F.struct("*")).alias("record"))
         txn.append("quarantine", kept)
-        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, status, error=str(error)[:2000]))
+        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, status, error=str(error)))
     txn.commit(stream, batch_id)
     if replica is not None and status == "completed":
         replicate(store, replica, replicated or store.names())

@@ -113,6 +113,8 @@ def test_replicate_and_purge(spark, tmp_path):
     }
     assert {(r.table_name, r.deleted_rows) for r in purge(store, "weather").collect()} == {("fact_weather_readings", 5), ("raw_weather_observations", 7)}
     assert store.read("fact_weather_readings").count() == 0 and store.read("dim_location").count() == 2
+    again = {(r.table_name, r.source_rows, r.target_rows) for r in replicate(store, target).collect()}
+    assert ("fact_weather_readings", 0, 0) in again and target.read("fact_weather_readings").count() == 0
 
 
 def test_preview_is_bounded_and_allow_listed(spark):
