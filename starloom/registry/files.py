@@ -141,8 +141,8 @@ SELECT event_type, COUNT(*) AS n, COUNT(*) FILTER (WHERE event_type = 'error') A
 def union_extracts(spark, sf_dir) -> DataFrame:
     """Per-key extracts with different columns as one batch."""
     e = B.table(spark, sf_dir, "events")
-    kinds = ["view", "signup", "click", "error", "purchase"]
-    extracts = [e.filter(F.col("event_type") == k).select("event_type", *(["value"] if k == "error" else [])) for k in kinds]
+    error = F.coalesce(F.col("event_type") == "error", F.lit(False))
+    extracts = [e.filter(error).select("event_type", "value"), e.filter(~error).select("event_type")]
     return payloads.union_batches(extracts).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.count("value").alias("with_value"))
 
 
@@ -159,6 +159,17 @@ def partitioned_write(spark, sf_dir) -> DataFrame:
     return recent.groupBy("date_bucket").agg(F.count(F.lit(1)).alias("n"), sum_money("net_amount").alias("net_amount"))
 
 
+@query("partitioned_write_whole", S.with_(*S.SALES, select=f"""
+SELECT {S.big('floor((order_date_key - 19950101) / 100)')} AS date_bucket, COUNT(*) AS n, {S.total('net_amount')} AS net_amount FROM fact_sales GROUP BY 1"""))
+def partitioned_write_whole(spark, sf_dir) -> DataFrame:
+    """Every bucket of the clustered fact, read back."""
+    path = scratch_path(spark, "clustered")
+    fact = sales(spark, sf_dir).fact_sales
+    write_clustered(fact, path, base=19950101)
+    back = spark.read.schema(fact.schema.add("date_bucket", "integer")).parquet(path)
+    return back.groupBy("date_bucket").agg(F.count(F.lit(1)).alias("n"), sum_money("net_amount").alias("net_amount"))
+
+
 def _store(spark, sf_dir) -> TableStore:
     store = TableStore(spark, scratch_path(spark, "store"))
     txn = store.begin()

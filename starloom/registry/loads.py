@@ -371,8 +371,8 @@ def update_from_join(spark, sf_dir) -> DataFrame:
 
 @query("upsert_keys", """
 SELECT COALESCE(o.user_id, n.user_id) AS user_id, COALESCE(n.last_value, o.last_value) AS last_value, COALESCE(o.first_type, n.first_type) AS first_type
-FROM (SELECT user_id, arg_max(value, (ts, event_id)) AS last_value, arg_min(event_type, (ts, event_id)) AS first_type FROM events WHERE ts < TIMESTAMP '2024-01-03' GROUP BY 1) AS o
-FULL JOIN (SELECT user_id, arg_max(value, (ts, event_id)) AS last_value, arg_min(event_type, (ts, event_id)) AS first_type FROM events WHERE ts >= TIMESTAMP '2024-01-28' GROUP BY 1) AS n
+FROM (SELECT user_id, arg_max(value, (ts, event_id)) AS last_value, arg_min(event_type, (ts, event_id)) AS first_type FROM events WHERE ts < TIMESTAMP '2024-01-15' GROUP BY 1) AS o
+FULL JOIN (SELECT user_id, arg_max(value, (ts, event_id)) AS last_value, arg_min(event_type, (ts, event_id)) AS first_type FROM events WHERE ts >= TIMESTAMP '2024-01-15' GROUP BY 1) AS n
 ON o.user_id = n.user_id""")
 def upsert_keys(spark, sf_dir) -> DataFrame:
     """Selected columns are refreshed, the others keep their first value, new keys are inserted."""
@@ -382,8 +382,8 @@ def upsert_keys(spark, sf_dir) -> DataFrame:
     def state(rows: DataFrame) -> DataFrame:
         return rows.groupBy("user_id").agg(F.max_by("value", at).alias("last_value"), F.min_by("event_type", at).alias("first_type"))
 
-    old = state(e.filter(F.col("ts") < F.lit("2024-01-03").cast("timestamp_ntz")))
-    new = state(e.filter(F.col("ts") >= F.lit("2024-01-28").cast("timestamp_ntz")))
+    old = state(e.filter(F.col("ts") < F.lit("2024-01-15").cast("timestamp_ntz")))
+    new = state(e.filter(F.col("ts") >= F.lit("2024-01-15").cast("timestamp_ntz")))
     return upsert(old, new, ["user_id"], ["last_value"])
 
 
@@ -428,16 +428,18 @@ def table_counts_query(spark, sf_dir) -> DataFrame:
 
 
 @query("zero_activity", """
-SELECT n_name, COUNT(o_orderkey) AS orders, COALESCE(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total
-FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey AND c_acctbal > 9900 LEFT JOIN orders ON o_custkey = c_custkey GROUP BY n_name""")
+SELECT n_name, COUNT(DISTINCT c_custkey) FILTER (o_orderkey IS NULL) AS idle, COUNT(o_orderkey) AS orders,
+  COALESCE(CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE), 0.0) AS total
+FROM nation LEFT JOIN customer ON c_nationkey = n_nationkey LEFT JOIN orders ON o_custkey = c_custkey GROUP BY n_name""")
 def zero_activity(spark, sf_dir) -> DataFrame:
     """Members without facts stay with zero: orders are summed per customer before the outer joins."""
     orders = B.table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("o_totalprice").cast("decimal(18,2)")).alias("t")
     )
-    rich = B.table(spark, sf_dir, "customer").filter("c_acctbal > 9900").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
-    joined = B.table(spark, sf_dir, "nation").join(rich.join(orders, "c_custkey", "left"), "n_nationkey", "left")
+    people = B.table(spark, sf_dir, "customer").select("c_custkey", F.col("c_nationkey").alias("n_nationkey"))
+    joined = B.table(spark, sf_dir, "nation").join(people.join(orders, "c_custkey", "left"), "n_nationkey", "left")
     return joined.groupBy("n_name").agg(
+        F.count(F.when(F.col("n").isNull(), F.col("c_custkey"))).alias("idle"),
         F.coalesce(F.sum("n"), F.lit(0)).alias("orders"), F.coalesce(F.sum("t").cast("double"), F.lit(0.0)).alias("total")
     )
 

@@ -143,8 +143,8 @@ SELECT {S.big("strftime(d, '%Y%m%d')")} AS date_key, {S.day('d')} AS full_date,
   strftime(d, '%B') AS month_name, {S.big('EXTRACT(QUARTER FROM d)')} AS quarter, {S.big('EXTRACT(YEAR FROM d)')} AS year,
   EXTRACT(DOW FROM d) IN (0, 6) AS is_weekend, n AS events
 FROM generate_series(DATE '2024-01-01', DATE '2026-12-31', INTERVAL 1 DAY) AS s(d)
-JOIN (SELECT CAST(ts AS DATE) AS od, COUNT(*) AS n FROM events GROUP BY 1) AS o ON o.od = CAST(d AS DATE)""")
+LEFT JOIN (SELECT CAST(ts AS DATE) AS od, COUNT(*) AS n FROM events GROUP BY 1) AS o ON o.od = CAST(d AS DATE)""")
 def core_date_dim_query(spark, sf_dir) -> DataFrame:
-    """Ten-column calendar with Sunday as day 1, on days that have events."""
+    """Ten-column calendar with Sunday as day 1, with the number of events per day."""
     per_day = B.table(spark, sf_dir, "events").groupBy(F.to_date("ts").alias("full_date")).agg(F.count(F.lit(1)).alias("events"))
-    return core_date_dim(spark).join(per_day, "full_date")
+    return core_date_dim(spark).join(per_day, "full_date", "left")
