@@ -15,7 +15,7 @@ from itertools import chain
 import numpy as np
 
 #: Chunks whose ids a worker keeps; beyond that it starts anew. About 200 bytes each.
-MOST_CHUNKS = 400_000
+MOST_CHUNKS = 1_000_000
 #: A chunk longer than this is encoded each time and not kept.
 LONG_CHUNK = 64
 
