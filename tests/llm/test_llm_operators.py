@@ -217,3 +217,18 @@ def test_pipeline_stages_keep_columns():
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and {"doc_id", "start", "length", "sequence_id", "offset"} <= set(rows[0].asDict())
+
+
+def test_parity_bits_are_a_lower_bound():
+    rng = np.random.default_rng(5)
+    pool = rng.integers(0, 1 << 63, 3000, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    sets = [np.sort(rng.choice(pool, n, replace=False)) for n in (0, 1, 2, 40, 400, 2500, 0)]
+    sets += [sets[3], np.sort(rng.choice(sets[4], 350, replace=False))]
+    marks = jaccard.signatures(np.concatenate(sets), np.array([len(s) for s in sets])).view(np.uint64)
+    for a, x in zip(sets, marks, strict=True):
+        for b, y in zip(sets, marks, strict=True):
+            differing = len(np.setxor1d(a, b))
+            bits = int(np.bitwise_count(x ^ y).sum())
+            assert bits <= differing and (bits - differing) % 2 == 0
+    assert not jaccard.signatures(np.zeros(0, np.uint64), np.array([0, 0])).any()
+    assert jaccard.signatures(np.zeros(0, np.uint64), np.zeros(0, np.int64)).shape == (0, jaccard.SIGNATURE)
