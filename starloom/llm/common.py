@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 #: Bytes of text that one vectorised step holds; a longer document is a step of its own.
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

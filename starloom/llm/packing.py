@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from .common import frame_steps, reachable, table
-from .tokens import encoder, tokenizer_path
+from .tokens import MOST_CHUNKS, encoder, tokenizer_path
 
 CAPACITY = 4096
 END_ID = 2
@@ -32,6 +32,8 @@ END_ID = 2
 POOL = 2_048
 #: A partition passes windows with more slack than this on to the second packing.
 CLOSE = 8
+#: Chunks whose ids a worker keeps in the pipeline.
+STAGE_CHUNKS = 100_000
 #: Partitions whose rests are packed together.
 TOGETHER = 64
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -137,17 +139,17 @@ def _together(capacity: int):
     return run
 
 
-def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, kept_chunks: int = MOST_CHUNKS) -> DataFrame:
     """A row per piece: where it lies in its document and in its sequence.
 
-    Sequence ids are unique, not dense. Texts are tokenized once; pieces are written to the shared folder, and the second packing
+    kept_chunks bounds the ids that a worker remembers; fewer take less memory and more time, the result is the same. Sequence ids are unique, not dense. Texts are tokenized once; pieces are written to the shared folder, and the second packing
     reads the few rests of each partition from there.
     """
     reachable(documents.sparkSession)
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
 
     def encode(texts: list[str]) -> list[bytes]:
-        return encoder(path).encode(texts)
+        return encoder(path, kept_chunks).encode(texts)
 
     pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id), PIECES), "packing")
     placed = pieces.where(F.col("sequence_id").isNotNull())
@@ -160,5 +162,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pipeline stage: the pieces of all documents."""
-    return pack(docs)
+    """Pipeline stage: the pieces of all documents. Its workers still hold memory of the stages before, so they keep fewer chunks."""
+    return pack(docs, kept_chunks=STAGE_CHUNKS)

@@ -2,7 +2,7 @@
 
 A text is cut before every single space that stands between two characters that are not white space. No token of the two vocabularies
 reaches over such a place (their splitting patterns start a new piece at it, and neither lower-casing nor composition crosses a space),
-so the ids of a text are those of its chunks in a row. Each worker keeps the ids of the chunks it has met, at most MOST_CHUNKS.
+so the ids of a text are those of its chunks in a row. Each worker keeps the ids of the chunks it has met, at most MOST_CHUNKS or as given.
 """
 
 from __future__ import annotations
@@ -25,13 +25,12 @@ _BESIDE = re.compile(r"\x20(?:\s|\Z|(?<=\s\x20))")
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, most: int = MOST_CHUNKS):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.plain, self.parted = Tokenizer.from_file(path), Tokenizer.from_file(path)
-        self.plain.encode_special_tokens = True  # such strings in a text are ordinary text
-        added = max(self.parted.get_added_tokens_decoder().items())
+        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark, self.mark_id = added[1].content, added[0]
         self.known: dict[str, bytes] = {}
 
@@ -39,7 +38,8 @@ class Encoder:
         """Encode new chunks in one call, parted by the special token, whose id no ordinary text gives."""
         whole = [c for c in chunks if "<|" not in c]
         if whole:
-            ids = np.array(self.parted.encode_batch_fast([self.mark.join(whole)], add_special_tokens=False)[0].ids, dtype="<u4")
+            self.tokenizer.encode_special_tokens = False
+            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(whole)], add_special_tokens=False)[0].ids, dtype="<u4")
             cut = np.flatnonzero(ids == self.mark_id)
             data = ids.tobytes()
             self.known.update((c, data[a:b]) for c, a, b in zip(whole, [0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(data)], strict=True))
@@ -48,12 +48,13 @@ class Encoder:
                 self.known[c] = self._alone(c)
 
     def _alone(self, text: str) -> bytes:
-        return np.array(self.plain.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
         parts = [chunks(t) for t in texts]
-        if len(self.known) > MOST_CHUNKS:
+        if len(self.known) > self.most:
             self.known.clear()
         known = self.known
         if new := [c for c in set(chain.from_iterable(parts)) if c not in known]:
@@ -80,8 +81,8 @@ def chunks(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    return Encoder(path)
+def encoder(path: str, most: int = MOST_CHUNKS) -> Encoder:
+    return Encoder(path, most)
 
 
 def tokenizer_path(name: str) -> str:
