@@ -139,17 +139,17 @@ def _together(capacity: int):
     return run
 
 
-def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, kept_chunks: int = MOST_CHUNKS) -> DataFrame:
+def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID, kept_chunks: int = MOST_CHUNKS, markers: bool = False) -> DataFrame:
     """A row per piece: where it lies in its document and in its sequence.
 
-    kept_chunks bounds the ids that a worker remembers; fewer take less memory and more time, the result is the same. Sequence ids are unique, not dense. Texts are tokenized once; pieces are written to the shared folder, and the second packing
+    kept_chunks bounds the ids that a worker remembers; fewer take less memory and more time, the result is the same. With markers, special tokens' strings in a text become special ids. Sequence ids are unique, not dense. Texts are tokenized once; pieces are written to the shared folder, and the second packing
     reads the few rests of each partition from there.
     """
     reachable(documents.sparkSession)
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
 
     def encode(texts: list[str]) -> list[bytes]:
-        return encoder(path, kept_chunks).encode(texts)
+        return encoder(path, kept_chunks, markers).encode(texts)
 
     pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id), PIECES), "packing")
     placed = pieces.where(F.col("sequence_id").isNotNull())
@@ -158,9 +158,9 @@ def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAP
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack(table(spark, sf_dir, "documents"), markers=True)
 
 
 def pack_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pipeline stage: the pieces of all documents. Its workers still hold memory of the stages before, so they keep fewer chunks."""
-    return pack(docs, kept_chunks=STAGE_CHUNKS)
+    return pack(docs, kept_chunks=STAGE_CHUNKS, markers=True)

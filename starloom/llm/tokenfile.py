@@ -123,13 +123,13 @@ _TOKENS = "shard int, seq long, before long, doc_id long, n long, ids binary"
 _BLOCKS = "shard int, first_seq long, before long, n_docs long, n_tokens long, doc_ids binary, nulls binary, counts binary, payload binary, checkpoints binary"
 
 
-def _tokenize(path: str, end_id: int):
+def _tokenize(path: str, end_id: int, markers: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, seq, before = TaskContext.get().partitionId(), 0, 0
         for rows, texts in frame_steps(batches):
-            ids = [x + end for x in encoder(path).encode(texts)]
+            ids = [x + end for x in encoder(path, markers=markers).encode(texts)]
             n = np.array([len(x) // 4 for x in ids], np.int64)
             small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if max(np.frombuffer(x, "<u4")) < 1 << 16 else x for x in ids]
             yield pd.DataFrame({"shard": part, "seq": np.arange(seq, seq + len(n)), "before": before + np.cumsum(n) - n, "doc_id": rows["doc_id"].astype("Int64"), "n": n, "ids": small})
@@ -184,17 +184,17 @@ def _blocks(lengths: np.ndarray):
     return run
 
 
-def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID) -> np.ndarray:
+def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID, markers: bool = False) -> np.ndarray:
     """Write the ids of all documents below the path; return the code lengths, which are written beside them.
 
-    Texts are dealt out by doc_id before they are tokenized, so that ids are moved once, as code words.
+    With markers, special tokens' strings in a text become special ids. Texts are dealt out by doc_id before they are tokenized, so that ids are moved once, as code words.
     """
     spark = documents.sparkSession
     reachable(spark)
     source = tokenizer or tokenizer_path("byte_bpe_50k.json")
     ordered = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     plain = f"{path}/plain"
-    ordered.mapInPandas(_tokenize(source, end_id), _TOKENS).write.option("compression", "zstd").parquet(plain)
+    ordered.mapInPandas(_tokenize(source, end_id, markers), _TOKENS).write.option("compression", "zstd").parquet(plain)
     tokens = spark.read.schema(_TOKENS).parquet(plain)
     counted = tokens.select("n", "ids").mapInPandas(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row per id of the vocabulary
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
@@ -242,5 +242,5 @@ def read_tokens(spark: SparkSession, path: str, digest: bool = False) -> DataFra
 
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "token-file")
-    write_tokens(table(spark, sf_dir, "documents"), path)
+    write_tokens(table(spark, sf_dir, "documents"), path, markers=True)
     return read_tokens(spark, path, digest=True)

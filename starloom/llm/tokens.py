@@ -3,6 +3,7 @@
 A text is cut before every single space that stands between two characters that are not white space. No token of the two vocabularies
 reaches over such a place (their splitting patterns start a new piece at it, and neither lower-casing nor composition crosses a space),
 so the ids of a text are those of its chunks in a row. Each worker keeps the ids of the chunks it has met, at most MOST_CHUNKS or as given.
+A special token's string in a text (`<|endoftext|>`) is its special id with markers=True, as in the library's plain encode; else ordinary text.
 """
 
 from __future__ import annotations
@@ -25,11 +26,11 @@ _BESIDE = re.compile(r"\x20(?:\s|\Z|(?<=\s\x20))")
 
 
 class Encoder:
-    def __init__(self, path: str, most: int = MOST_CHUNKS):
+    def __init__(self, path: str, most: int = MOST_CHUNKS, markers: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
+        self.tokenizer, self.most, self.markers = Tokenizer.from_file(path), most, markers
         added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark, self.mark_id = added[1].content, added[0]
         self.known: dict[str, bytes] = {}
@@ -48,7 +49,7 @@ class Encoder:
                 self.known[c] = self._alone(c)
 
     def _alone(self, text: str) -> bytes:
-        self.tokenizer.encode_special_tokens = True  # such strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not self.markers
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -81,8 +82,8 @@ def chunks(text: str) -> list[str]:
 
 
 @lru_cache(maxsize=4)
-def encoder(path: str, most: int = MOST_CHUNKS) -> Encoder:
-    return Encoder(path, most)
+def encoder(path: str, most: int = MOST_CHUNKS, markers: bool = False) -> Encoder:
+    return Encoder(path, most, markers)
 
 
 def tokenizer_path(name: str) -> str:
