@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Sequence
 from functools import reduce
 
@@ -27,7 +28,7 @@ from ..plans.calendar import REALTIME_RANGE, date_dim
 from ..plans.insights import insight_row
 from ..plans.marts import vip_orders
 from ..plans.sales import load_customers, load_products, sales_facts
-from ..session import materialize
+from ..session import materialize, scratch_path
 from ..sources.sinks import replicate
 from ..sources.store import TableStore, Transaction
 
@@ -36,6 +37,8 @@ _DATA_ERRORS = (
     AnalysisException, ArithmeticException, ArrayIndexOutOfBoundsException, DateTimeException, IllegalArgumentException,
     NumberFormatException, SparkRuntimeException, ValueError,
 )
+#: Columns by which a stream says what file a row is from.
+SOURCE_FILE, SOURCE_TIME = "_source_file", "_source_time"
 _INFERRED_SINCE = "1900-01-01 00:00:00"
 _PRODUCT_MARKS = ("product_name", "category", "subcategory", "cost_price")
 _SALES_PARTS = ("customers", "products", "orders")
@@ -199,6 +202,46 @@ def _insights(txn: Transaction, run_id: str, as_of) -> None:
     txn.append("insights", insight_row(fact, customers, calendar, F.to_date(today)).withColumn("pipeline_run_id", F.lit(run_id)))
 
 
+def by_file(batch: DataFrame) -> list[tuple[str | None, DataFrame]]:
+    """The rows of each file of a batch, oldest file first, without the two columns that name it."""
+    marks = (SOURCE_FILE, SOURCE_TIME)
+    if SOURCE_FILE not in batch.columns:
+        return [(None, batch)]
+    names = [c for c in batch.columns if c not in marks]
+    # places instead of names: two headers of a batch may differ only in case
+    flat = batch.toDF(*[c if c in marks else f"c{i}" for i, c in enumerate(batch.columns)])
+    kept = [c for c in flat.columns if c not in marks]
+    files = flat.groupBy(SOURCE_FILE).agg(F.max(SOURCE_TIME).alias(SOURCE_TIME)).collect()  # a row per file
+    order = [r[SOURCE_FILE] for r in sorted(files, key=lambda r: (r[SOURCE_TIME], r[SOURCE_FILE]))]
+    if len(order) < 2:
+        return [(order[0] if order else None, flat.select(*kept).toDF(*names))]
+    apart = flat.withColumn("part", F.sha2(SOURCE_FILE, 256)).select(*kept, "part")
+    path = scratch_path(batch.sparkSession, "files")
+    apart.write.partitionBy("part").parquet(path)
+    stored = batch.sparkSession.read.schema(apart.schema).parquet(path)
+    return [(f, stored.filter(F.col("part") == hashlib.sha256(f.encode()).hexdigest()).select(*kept).toDF(*names)) for f in order]
+
+
+def _load_file(rows: DataFrame, file: str | None, txn: Transaction, run_id: str, run_type: str, batch_id: int, as_of, insights: bool) -> bool:
+    """Apply one file to the load. False if its data cannot be processed: then only its quarantine and audit rows are added."""
+    spark, before = txn.store.spark, txn.mark()
+    try:
+        about = {"batch_id": batch_id} | ({"file": file} if file is not None else {})
+        txn.append("pipeline_runs", run_started(spark, run_id, run_type, about))
+        counters = load_batch(rows, txn, run_id, as_of)
+        if insights:
+            _insights(txn, run_id, as_of)
+        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, "completed", counters))
+    except _DATA_ERRORS as error:
+        txn.undo(before)
+        kept = rows.select(F.lit(run_id).alias("pipeline_run_id"), F.to_json(F.struct("*")).alias("record"))
+        txn.append("quarantine", kept)
+        text = str(error) if file is None else f"{file}: {error}"
+        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, "failed", error=text))
+        return False
+    return True
+
+
 def process_batch(
     batch: DataFrame,
     batch_id: int,
@@ -212,27 +255,20 @@ def process_batch(
     """Apply one micro-batch: returns "skipped", "completed" or "failed".
 
     All tables, the audit rows and the batch number are published by one commit, so a batch
-    that is replayed after a crash is either skipped whole or done whole. A batch whose data
-    cannot be processed is kept as JSON in `quarantine` with a failed audit row, and the stream goes on.
+    that is replayed after a crash is either skipped whole or done whole. The files of a batch are
+    applied one after another, oldest first, so tables don't depend on how many share a batch. A file
+    whose data cannot be processed is kept as JSON in `quarantine` with a failed audit row; the other files
+    and the stream go on, and the batch counts as failed. A batch that doesn't name its files is one.
     """
     if store.manifest()["batches"].get(stream, -1) >= batch_id:
         return "skipped"
-    spark, run_id, run_type = store.spark, f"{stream}-{batch_id}", f"realtime_{stream}"
-    status = "completed"
-    try:
-        txn = store.begin()
-        txn.append("pipeline_runs", run_started(spark, run_id, run_type, {"batch_id": batch_id}))
-        counters = load_batch(batch, txn, run_id, as_of)
-        if insights:
-            _insights(txn, run_id, as_of)
-        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, status, counters))
-    except _DATA_ERRORS as error:
-        status = "failed"
-        txn = store.begin()
-        kept = batch.select(F.lit(run_id).alias("pipeline_run_id"), F.to_json(F.struct("*")).alias("record"))
-        txn.append("quarantine", kept)
-        txn.append("pipeline_runs", run_finished(spark, run_id, run_type, status, error=str(error)))
+    run_id, txn = f"{stream}-{batch_id}", store.begin()
+    files = by_file(batch)
+    done = [
+        _load_file(rows, file, txn, run_id if len(files) == 1 else f"{run_id}-{k}", f"realtime_{stream}", batch_id, as_of, insights)
+        for k, (file, rows) in enumerate(files)
+    ]
     txn.commit(stream, batch_id)
-    if replica is not None and status == "completed":
+    if replica is not None and any(done):
         replicate(store, replica, replicated or store.names())
-    return status
+    return "completed" if all(done) else "failed"

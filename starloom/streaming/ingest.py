@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -11,7 +12,7 @@ from ..operators.clean import (
     STOCK_MARKS, WEATHER_ALIASES, WEATHER_MARKS,
 )
 from ..sources.store import TableStore
-from .batch import process_batch
+from .batch import SOURCE_FILE, SOURCE_TIME, process_batch
 
 
 def wide_schema() -> T.StructType:
@@ -40,6 +41,8 @@ def ingest_files(
 ) -> StreamingQuery:
     """Feed dropped CSV, JSON-lines or Parquet files to `process_batch`, each file once, oldest first.
 
+    Tables don't depend on `files_per_batch`: a batch applies its files one by one and commits once.
+
     With `poll_seconds` the folder is watched, otherwise what is there is processed and the query
     stops. `archive` moves finished files away. CSV files need the schema of their header;
     JSON and Parquet are matched by name.
@@ -51,6 +54,7 @@ def ingest_files(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     writer = (
         reader.load(folder)
+        .select("*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_modification_time").alias(SOURCE_TIME))
         .writeStream.queryName(stream)
         .option("checkpointLocation", checkpoint)
         .foreachBatch(lambda batch, batch_id: process_batch(batch, batch_id, store, stream, **batch_options) and None)

@@ -1,3 +1,5 @@
+import json
+import os
 from datetime import datetime
 
 import pytest
@@ -5,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.sources.store import TableStore
-from starloom.streaming.batch import process_batch
+from starloom.streaming.batch import SOURCE_FILE, SOURCE_TIME, process_batch
 from starloom.streaming.ingest import ingest_files, wide_schema
 
 CLOCK = datetime(2024, 12, 31)
@@ -99,3 +101,41 @@ def test_insights_and_replica(spark, tmp_path):
     row = store.read("insights").first()
     assert row.revenue_forecast_status == "completed" and row.high_risk + row.medium_risk + row.low_risk == 1
     assert replica.read("fact_sales").count() == 6
+
+
+def test_files_of_a_batch_are_routed_and_quarantined_one_by_one(spark, tmp_path):
+    drop = tmp_path / "drop"
+    drop.mkdir()
+    too_much = {**ORDER, "order_id": "O9", "quantity": "2000000000", "unit_price": "9999999999.99"}  # beyond the money type
+    files = [
+        [{**CUSTOMER, "city": "Rome"}], [{"city": "Oslo", "temperature": "3.5", "observation_dt": "2024-01-05 00:00:00"}],
+        [too_much, {**too_much, "order_id": "O8", "quantity": "1"}], [{**CUSTOMER, "customer_tier": "Silver", "updated_at": "2024-02-01 00:00:00"}], [ORDER],
+    ]
+    for k, records in enumerate(files):
+        name = drop / f"{k}.json"
+        name.write_text("\n".join(map(json.dumps, records)))
+        os.utime(name, (1_700_000_000 + k, 1_700_000_000 + k))
+    found = {}
+    for n in (1, 100):
+        store = TableStore(spark, str(tmp_path / f"s{n}"))
+        ingest_files(spark, str(drop), "json", store, str(tmp_path / f"c{n}"), files_per_batch=n, as_of=F.lit(CLOCK)).awaitTermination()
+        assert store.manifest()["batches"]["files"] == (4 if n == 1 else 0)
+        found[n] = {
+            name: sorted(tuple(r) for r in store.read(name).select(*columns).collect())
+            for name, columns in {
+                "raw_weather_observations": ("city", "temp_celsius"), "dim_customer": ("customer_id", "city", "customer_tier", "is_current"),
+                "fact_sales": ("order_id",), "quarantine": ("record",), "pipeline_runs": ("status",),
+            }.items()
+        }
+    assert found[1] == found[100]
+    assert found[100]["raw_weather_observations"] == [("Oslo", 3.5)]
+    assert found[100]["fact_sales"] == [("O1",)] and len(found[100]["quarantine"]) == 2
+    assert sorted(r[2:] for r in found[100]["dim_customer"]) == [("Gold", False), ("Silver", True)]
+
+
+def test_headers_that_clash_are_quarantined_by_file(spark, tmp_path):
+    rows = spark.createDataFrame([("x", "y", "f1", CLOCK), ("x", "z", "f2", CLOCK)], f"ticker string, `TICKER ` string, {SOURCE_FILE} string, {SOURCE_TIME} timestamp")
+    store = TableStore(spark, str(tmp_path / "s"))
+    assert process_batch(rows, 0, store) == "failed"
+    assert sorted(r.pipeline_run_id for r in store.read("quarantine").collect()) == ["files-0-0", "files-0-1"]
+    assert all(r.error_message.startswith("f") for r in store.read("pipeline_runs").collect())
