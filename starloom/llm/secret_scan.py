@@ -52,14 +52,19 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
 )
+#: A private key after its BEGIN line: up to the END line before any other BEGIN, or else header and base64 lines, also with escaped line ends.
+_KEY_BODY = (
+    r"(?:(?:(?!-----(?:BEGIN|END))[\s\S])*-----END (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"
+    r"|(?:(?:\s|\\[rn])+(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*|[A-Za-z0-9+/]{16,}={0,2}))*(?:(?:\s|\\[rn])+[A-Za-z0-9+/]{1,15}(?:={1,2}|(?=\s*\Z)))?)"
+)
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("google", r"AIza[0-9A-Za-z_-]{35}"),
     Rule("stripe", r"[sr]k_live_[0-9a-zA-Z]{16,}"),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}"),
-    Rule("key_block", r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"),
-    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]{1,64}:[^\s/:@]{1,64}@"),
+    Rule("key_block", r"-----BEGIN (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----" + _KEY_BODY),
+    Rule("url_login", r"[a-z][a-z0-9+.-]{1,15}://[^\s/:@]+:[^\s/:@]+@"),
 )
 RULES = BASE + MORE
 
