@@ -130,9 +130,9 @@ def shingle_hashes(texts: list[str], width: int = 5) -> tuple[np.ndarray, np.nda
     words, counts = word_hashes(texts)
     starts = np.cumsum(counts) - counts
     n = len(words)
-    summed = np.zeros(max(n, 0), np.uint64)
+    summed = np.zeros(n, np.uint64)
     for k in range(width):
-        summed[: n - k] += words[k:] * _LANES[k]
+        summed[: max(n - k, 0)] += words[k:] * _LANES[k]
     have = np.maximum(counts - width + 1, 0)
     text_of = np.repeat(np.arange(len(texts)), have)
     at = np.arange(have.sum()) - np.repeat(np.cumsum(have) - have, have) + np.repeat(starts, have)

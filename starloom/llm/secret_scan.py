@@ -52,10 +52,11 @@ BASE = (
     Rule("access", r"AKIA[A-Z0-9]+", least=20),
     Rule("hex", r"[0-9a-f]+", least=24),
 )
-#: A private key after its BEGIN line: up to the END line before any other BEGIN, or else header and base64 lines, also with escaped line ends.
+#: A private key after its BEGIN line: up to the next END line with no other five hyphens before it, or else header and base64 lines, also with
+#: escaped line ends. Written without look-ahead, which SQL engines lack; a last short line may take the white space at the text's end with it.
 _KEY_BODY = (
-    r"(?:(?:(?!-----(?:BEGIN|END))[\s\S])*-----END (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"
-    r"|(?:(?:\s|\\[rn])+(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*|[A-Za-z0-9+/]{16,}={0,2}))*(?:(?:\s|\\[rn])+[A-Za-z0-9+/]{1,15}(?:={1,2}|(?=\s*\Z)))?)"
+    r"(?:(?:-{0,4}[^-])*-----END (?:[A-Z]{1,12} ){0,3}PRIVATE KEY-----"
+    r"|(?:(?:[\x20\t-\r]|\\[rn])+(?:(?:Proc-Type|DEK-Info):[^\r\n\\]*|[A-Za-z0-9+/]{16,}={0,2}))*(?:(?:[\x20\t-\r]|\\[rn])+[A-Za-z0-9+/]{1,15}(?:={1,2}|[\x20\t-\r]*$))?)"
 )
 MORE = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
