@@ -44,4 +44,27 @@ found AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
 SELECT d.doc_id, coalesce(n, 0) AS n_shingles, f.component_id, count(*) OVER (PARTITION BY f.component_id) AS component_rows
 FROM documents AS d LEFT JOIN sizes AS z ON z.doc_id = d.doc_id JOIN found AS f ON f.node = d.doc_id"""
 
-ORACLE = {"op1_secret_scan": secret_scan_sql(), "op6_ngram_jaccard": JACCARD}
+AUDIT = """WITH texts AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+words AS (SELECT *, list_filter(regexp_split_to_array(t, '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w, min(doc_id) OVER (PARTITION BY t) AS first FROM texts),
+failing AS (SELECT doc_id, part,
+  CASE WHEN len(w) < 200 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+  || CASE WHEN 100 * len(regexp_extract_all(t, '[A-Z]')) > 2 * length(t) THEN 'C' ELSE '' END
+  || CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > first THEN 'E' ELSE '' END AS fails FROM words),
+marks AS (SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels GROUP BY doc_id),
+classes AS (SELECT part, fails, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic, count(*) AS n
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY ALL),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+orders AS (SELECT a.c || b.c || c.c || d.c || e.c AS filter_order FROM letters AS a, letters AS b, letters AS c, letters AS d, letters AS e
+  WHERE len(list_distinct([a.c, b.c, c.c, d.c, e.c])) = 5),
+steps AS (SELECT filter_order, step, substr(filter_order, step, 1) AS letter, substr(filter_order, 1, step - 1) AS earlier
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) AS s),
+seen AS (SELECT part, filter_order, step, letter, n, good, toxic, contains(fails, letter) AS failing, fails = letter AS alone,
+  length(translate(earlier, fails, '')) = length(earlier) AS reached FROM classes, steps)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(sum(n) FILTER (reached AND NOT failing), 0) AS BIGINT) AS kept,
+  CAST(coalesce(sum(n) FILTER (reached AND failing), 0) AS BIGINT) AS removed, CAST(coalesce(sum(n) FILTER (failing AND NOT reached), 0) AS BIGINT) AS redundant,
+  CAST(coalesce(sum(n) FILTER (alone), 0) AS BIGINT) AS unique_fails, CAST(coalesce(sum(n) FILTER (reached AND failing AND good), 0) AS BIGINT) AS good_lost,
+  CAST(coalesce(sum(n) FILTER (reached AND failing AND toxic), 0) AS BIGINT) AS toxic_lost,
+  CAST(sum(coalesce(sum(n) FILTER (reached AND failing), 0)) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM seen GROUP BY part, filter_order, step, letter"""
+
+ORACLE = {"op11_filter_audit": AUDIT, "op1_secret_scan": secret_scan_sql(), "op6_ngram_jaccard": JACCARD}

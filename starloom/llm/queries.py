@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import fingerprints, hnsw, jaccard, language, packing, pieces, quality, secret_scan, tokenfile, toxicity
+from . import filter_audit, fingerprints, hnsw, jaccard, language, packing, pieces, quality, secret_scan, tokenfile, toxicity, wordbpe
 from .oracle import ORACLE
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_packing": packing.op9_packing,
     "op10_fingerprints": fingerprints.op10_fingerprints,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_word_bpe": wordbpe.op12_word_bpe,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
