@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import filter_audit, fingerprints, hnsw, jaccard, language, packing, pieces, quality, secret_scan, tokenfile, toxicity, wordbpe
+from . import alignment, filter_audit, fingerprints, hnsw, jaccard, language, packing, pieces, quality, secret_scan, tokenfile, toxicity, wordbpe
 from .oracle import ORACLE
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_fingerprints": fingerprints.op10_fingerprints,
     "op11_filter_audit": filter_audit.op11_filter_audit,
     "op12_word_bpe": wordbpe.op12_word_bpe,
+    "op13_alignment": alignment.op13_alignment,
 }
 
 __all__ = ["ORACLE", "QUERIES"]
