@@ -10,6 +10,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -61,6 +62,20 @@ def sums(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return total[ends] - total[ends - sizes]
 
 
+def packed(*parts: bytes) -> bytes:
+    """Some byte strings as one compressed one."""
+    sizes = np.array([len(p) for p in parts], "<u8").tobytes()
+    return zstandard.ZstdCompressor(level=3).compress(bytes([len(parts)]) + sizes + b"".join(parts))
+
+
+def unpacked(data: bytes) -> list[bytes]:
+    """The byte strings that `packed` took."""
+    raw = zstandard.ZstdDecompressor().decompress(data)
+    at = 1 + 8 * raw[0]
+    ends = (at + np.cumsum(np.frombuffer(raw[1:at], "<u8").astype(np.int64))).tolist()
+    return [raw[a:b] for a, b in zip([at, *ends], ends)]
+
+
 def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
     """Consecutive stretches of bytes as a binary column."""
     return pa.Array.from_buffers(pa.large_binary(), len(ends), [None, pa.py_buffer(np.concatenate(([0], ends)).astype(np.int64)), pa.py_buffer(data)]).cast(pa.binary())

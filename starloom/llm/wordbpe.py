@@ -1,40 +1,48 @@
 """Byte-level BPE by one global shuffle of distinct words.
 
-1. Texts are cut by the splitting pattern; the words of a block of documents are exploded with their positions, one row a distinct word of the
-   block, its positions as a packed list, so a frequent word travels once a block and not once an occurrence.
-2. The distinct words of all blocks meet in one shuffle; each is encoded once, by the ranks.
-3. The ids are joined back to the blocks by word and put at the word's positions; a document's ids are those of its words in a row.
+1. Texts are cut by the splitting pattern; the words of a block of documents are exploded with their positions: each distinct word of the block
+   once, beside the list of its positions. A block's words travel packed, one row for each hash bucket of words.
+2. The words of all blocks meet by bucket in one shuffle; each distinct word lies in one bucket and is encoded there once, by the ranks. A
+   frequent word comes once a block, whatever its occurrences, and buckets are alike in size.
+3. The ids go back to the blocks, where they join the positions: a document's ids are those of its words in a row.
 4. Decoding joins the table of the tokens' bytes, which is as large as the vocabulary (its size is checked), to the ids.
 
 Words are cut as the encoding library cuts them: characters that the library's Unicode tables class otherwise than the tables used here are
 replaced by one of the library's class while the borders are found.
 
 Null text is empty: no ids, no bytes. Rows may repeat and ids may be null: each row is a document by itself. An empty table gives no rows.
-Extra columns are ignored. A document longer than a block is a block of its own and must fit a task's memory, about 50 times its characters.
+Extra columns are ignored. A document longer than a block is a block of its own and must fit a task's memory, about ten times its characters.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import zlib
+from collections import defaultdict
 from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from .blocks import BLOCK_CHARS, binaries, in_blocks, joined_bytes, ragged, sums, unvarints, varints, whole_blocks, with_values
+from ..session import materialize, plan_size
+from .blocks import BLOCK_CHARS, binaries, in_blocks, packed, ragged, sums, unpacked, unvarints, varints, whole_blocks
 from .common import reachable, table
 from .tokens import tokenizer_path
 
 #: Most bytes of a vocabulary that is handed to every task.
 MOST_VOCABULARY = 64 << 20
-_EXPLODED = "block long, k int, word string, positions binary, doc_ids array<long>, sizes array<int>"
+_EXPLODED = "block long, k int, words binary, positions binary, doc_ids array<long>, sizes array<int>"
+#: Characters of a block. Its distinct words are in memory, the words of its texts aren't.
+WORD_BLOCK = 4 * BLOCK_CHARS
+#: Hash buckets of words for each 2^30 bytes that the plan expects, and at most in all: a task holds the distinct words of one.
+BUCKETS_PER_GB = 64
+MOST_BUCKETS = 8192
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -90,49 +98,91 @@ def _splitter(pattern: str, instead: tuple) -> Splitter:
     return Splitter(pattern, dict(instead))
 
 
-def _exploded(split: Callable[[], Callable[[str], list[str]]], block_chars: int):
+def _exploded(split: Callable[[], Callable[[str], list[str]]], block_chars: int, buckets: int):
     names = [c.split()[0] for c in _EXPLODED.split(", ")]
 
-    def closed(block: int, doc_ids: list, sizes: list[int], words: list[str]) -> Iterator[pa.RecordBatch]:
+    def closed(block: int, doc_ids: list, sizes: list[int], codes: list[np.ndarray], known: dict[str, int]) -> Iterator[pa.RecordBatch]:
         lists = [pa.array([doc_ids], pa.list_(pa.int64())), pa.array([sizes], pa.list_(pa.int32()))]
-        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.nulls(1, pa.string()), pa.nulls(1, pa.binary()), *lists], names)
-        if not words:
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *lists], names)
+        if not known:
             return
-        codes, distinct = pd.factorize(np.array(words, dtype=object))
-        at = np.argsort(codes, kind="stable")
-        ends = np.cumsum(np.bincount(codes))
+        words = [w.encode() for w in known]
+        bucket = [zlib.crc32(w) % buckets for w in words]
+        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
+        place = np.empty(len(words), np.int64)
+        place[order] = np.arange(len(words))
+        code = place[np.concatenate(codes)]
+        at = np.argsort(code, kind="stable")
+        number = np.bincount(code, minlength=len(words))
+        ends = np.cumsum(number)
         gaps = np.diff(at, prepend=0)
         gaps[ends[:-1]] = at[ends[:-1]]  # a word's first position counts from the block's start
         data, cuts = varints(gaps)
-        n = len(distinct)
-        rows = [pa.array(np.full(n, block)), pa.array(np.arange(n, dtype=np.int32)), pa.array(distinct, pa.string()), binaries(data, cuts[ends - 1])]
-        yield pa.RecordBatch.from_arrays([*rows, pa.nulls(n, lists[0].type), pa.nulls(n, lists[1].type)], names)
+        bucket = np.array(bucket)[order]
+        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        rows = []
+        for low, high in zip(first.tolist(), [*first[1:].tolist(), len(words)], strict=True):
+            own = [words[i] for i in order[low:high]]
+            begin = cuts[ends[low - 1] - 1] if low else 0
+            rows.append((packed(_numbers(map(len, own), len(own)), b"".join(own)), packed(varints(number[low:high])[0].tobytes(), data[begin : cuts[ends[high - 1] - 1]].tobytes())))
+        n = len(rows)
+        columns = [pa.array(np.full(n, block)), pa.array(bucket[first].astype(np.int32)), *[pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, lists[0].type), pa.nulls(n, lists[1].type)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, part, number = split(), TaskContext.get().partitionId(), 0
-        doc_ids, sizes, words, chars = [], [], [], 0
+        doc_ids, sizes, codes, chars, known = [], [], [], 0, _numbering()
         for batch in batches:
             for doc_id, text in zip(batch.column("doc_id").cast(pa.int64()).to_pylist(), batch.column("text").to_pylist(), strict=True):
                 found = cut(text) if text else []
                 doc_ids.append(doc_id)
                 sizes.append(len(found))
-                words += found
+                codes.append(np.fromiter(map(known.__getitem__, found), np.uint32, len(found)))
                 chars += len(text or "")
                 if chars >= block_chars or len(doc_ids) >= block_chars >> 4:
-                    yield from closed((part << 32) + number, doc_ids, sizes, words)
-                    number, doc_ids, sizes, words, chars = number + 1, [], [], [], 0
+                    yield from closed((part << 32) + number, doc_ids, sizes, codes, known)
+                    number, doc_ids, sizes, codes, chars, known = number + 1, [], [], [], 0, _numbering()
         if doc_ids:
-            yield from closed((part << 32) + number, doc_ids, sizes, words)
+            yield from closed((part << 32) + number, doc_ids, sizes, codes, known)
 
     return run
 
 
-def _word_ids(ranks: Callable[[], dict[bytes, int]]):
+def _numbering() -> dict[str, int]:
+    """A dictionary that numbers what it is asked for."""
+    known: defaultdict[str, int] = defaultdict()
+    known.default_factory = known.__len__
+    return known
+
+
+def _numbers(values, n: int) -> bytes:
+    return varints(np.fromiter(values, np.int64, n))[0].tobytes()
+
+
+def _cut(data: bytes, sizes: np.ndarray) -> list[bytes]:
+    ends = np.cumsum(sizes).tolist()
+    return [data[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)] if ends else []
+
+
+def _encoded(ranks: Callable[[], dict[bytes, int]]):
+    """Rows sorted by bucket, so that a task knows the words of one bucket at a time."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        core = bpe(ranks())._core_bpe
+        core, current, known = bpe(ranks())._core_bpe, None, {}
         for batch in batches:
-            ids = [np.array(core.encode_single_piece(w.encode()), "<u4").tobytes() for w in batch.column("word").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("word"), batch.column("rows"), pa.array(ids, pa.binary())], ["word", "rows", "ids"])
+            out = []
+            for k, words in zip(batch.column("k").to_pylist(), batch.column("words").to_pylist(), strict=True):
+                if k != current:
+                    current, known = k, {}
+                sizes, data = unpacked(words)
+                own = _cut(data, unvarints(np.frombuffer(sizes, np.uint8)))
+                for w in own:
+                    if w not in known:
+                        known[w] = np.array(core.encode_single_piece(w), "<u4").tobytes()
+                ids = [known[w] for w in own]
+                flat = np.frombuffer(b"".join(ids), "<u4")
+                out.append(packed(_numbers((len(i) >> 2 for i in ids), len(ids)), flat.astype("<u2" if flat.max() < 1 << 16 else "<u4").tobytes()))
+            yield pa.RecordBatch.from_arrays([batch.column("block"), batch.column("k"), pa.array(out, pa.binary())], ["block", "k", "ids"])
 
     return run
 
@@ -155,21 +205,21 @@ class TokenBytes:
 
 
 def _placed(block: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
-    """Document ids, numbers of tokens and all ids of a block, from its rows by k: its own, words' positions, words' ids."""
-    own = block.filter(pa.compute.is_valid(block["doc_ids"]))
+    """Document ids, numbers of tokens and all ids of a block, from its rows by bucket: its own, words' positions, words' ids."""
+    own = block.filter(pc.is_valid(block["doc_ids"]))
     doc_ids, words = own["doc_ids"][0].as_py(), np.array(own["sizes"][0].as_py(), np.int64)
-    where = block.filter(pa.compute.is_valid(block["positions"]))
-    data, sizes = joined_bytes(where["positions"])
-    number = sums((data < 128).astype(np.int64), sizes)
-    steps = np.cumsum(unvarints(data))
+    where = [unpacked(x) for x in block["positions"].drop_null().to_pylist()]
+    number, gaps = (unvarints(np.frombuffer(b"".join(x[i] for x in where), np.uint8)) for i in (0, 1))
+    ids = [unpacked(x) for x in block["ids"].drop_null().to_pylist()]
+    steps = np.cumsum(gaps)
     first = np.cumsum(number) - number
     before = np.concatenate(([0], steps))[first]
     code = np.empty(len(steps), np.int64)
     code[steps - np.repeat(before, number)] = np.repeat(np.arange(len(number)), number)
-    raw, sizes = joined_bytes(block.filter(pa.compute.is_valid(block["ids"]))["ids"])
-    flat, sizes = raw.view("<u4"), sizes // 4
-    ids = flat[ragged((np.cumsum(sizes) - sizes)[code], sizes[code])]
-    return doc_ids, sums(sizes[code], words), ids
+    parts = [unvarints(np.frombuffer(x[0], np.uint8)) for x in ids]
+    flat = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x[1], "<u2" if len(x[1]) == 2 * n.sum() else "<u4") for x, n in zip(ids, parts, strict=True))]).astype(np.int64)
+    sizes = np.concatenate([np.zeros(0, np.int64), *parts])
+    return doc_ids, sums(sizes[code], words), flat[ragged((np.cumsum(sizes) - sizes)[code], sizes[code])]
 
 
 def _assembled(ranks: Callable[[], dict[bytes, int]], digests: bool):
@@ -192,10 +242,10 @@ def _assembled(ranks: Callable[[], dict[bytes, int]], digests: bool):
     return run
 
 
-def encode_and_decode(documents: DataFrame, ranks: str | None = None, pattern: str | None = None, digests: bool = False, block_chars: int = BLOCK_CHARS, hot_rows: int | None = None) -> DataFrame:
+def encode_and_decode(documents: DataFrame, ranks: str | None = None, pattern: str | None = None, digests: bool = False, block_chars: int = WORD_BLOCK, buckets: int | None = None) -> DataFrame:
     """doc_id and, per document, ids (array<int>) and decoded (binary), or with digests n_tokens, ids_sha256 and decoded_sha256.
 
-    ranks: a rank file; pattern: what a word is. hot_rows: block rows of a word from which it may be spread over salts.
+    ranks: a rank file; pattern: what a word is; buckets: hash buckets of words, by the plan's size if not given. Neither buckets nor blocks change the result.
     """
     spark = documents.sparkSession
     reachable(spark)
@@ -205,14 +255,14 @@ def encode_and_decode(documents: DataFrame, ranks: str | None = None, pattern: s
 
         pattern = public_tokenizers.PATTERN
     instead = tuple(sorted(stand_ins().items()))
-    exploded = documents.select("doc_id", "text").mapInArrow(_exploded(lambda: _splitter(pattern, instead), block_chars), _EXPLODED)
-    exploded = materialize(exploded, "exploded")
-    words = exploded.where("k >= 0")
-    distinct = words.groupBy("word").agg(F.count(F.lit(1)).alias("rows"))
-    encoded = materialize(distinct.mapInArrow(_word_ids(lambda: read_ranks(path)), "word string, rows long, ids binary"), "words")
-    back = with_values(words.select("block", "k", "word"), encoded, "word", **({} if hot_rows is None else {"hot_rows": hot_rows, "share": 1 << 40}))
-    none = {c: F.lit(None).cast(t) for c, t in (("positions", "binary"), ("doc_ids", "array<long>"), ("sizes", "array<int>"))}
-    rows = exploded.select("block", "k", "positions", "doc_ids", "sizes", F.lit(None).cast("binary").alias("ids")).unionByName(back.select("block", "k", "ids", *[v.alias(c) for c, v in none.items()]))
+    if buckets is None:
+        buckets = min(BUCKETS_PER_GB * (1 + (plan_size(documents.select("text")) >> 30)), MOST_BUCKETS)
+    texts = documents.select("doc_id", "text")
+    exploded = materialize(texts.mapInArrow(_exploded(lambda: _splitter(pattern, instead), block_chars, buckets), _EXPLODED), "exploded")
+    words = exploded.where("k >= 0").select("block", "k", "words").repartition("k").sortWithinPartitions("k")
+    ids = words.mapInArrow(_encoded(lambda: read_ranks(path)), "block long, k int, ids binary")
+    none = {c: F.lit(None).cast(t).alias(c) for c, t in (("positions", "binary"), ("doc_ids", "array<long>"), ("sizes", "array<int>"), ("ids", "binary"))}
+    rows = exploded.select("block", "k", "positions", "doc_ids", "sizes", none["ids"]).unionByName(ids.select("block", "k", none["positions"], none["doc_ids"], none["sizes"], "ids"))
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "doc_id long, ids array<int>, decoded binary"
     return in_blocks(rows).mapInArrow(_assembled(lambda: read_ranks(path), digests), schema)
 

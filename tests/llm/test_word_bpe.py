@@ -29,15 +29,20 @@ def test_varints_round_trip():
     assert blocks.binaries(np.frombuffer(b"abc", np.uint8), np.array([1, 1, 3])).to_pylist() == [b"a", b"", b"bc"]
 
 
+def test_packed_strings_round_trip():
+    for parts in ([b""], [b"a", b"", b"bc" * 900], []):
+        assert blocks.unpacked(blocks.packed(*parts)) == parts
+
+
 def test_blocks_are_whole_over_batches():
     parts = [pa.RecordBatch.from_arrays([pa.array(b, pa.int64())], ["block"]) for b in ([1, 1], [], [1, 2], [3])]
     assert [t["block"].to_pylist() for t in blocks.whole_blocks(parts)] == [[1, 1, 1], [2], [3]]
 
 
-@pytest.mark.parametrize("block_chars, hot_rows", [(1 << 22, None), (64, 1)])
-def test_equals_the_library(spark, block_chars, hot_rows):
-    """One block or many, with and without salted words."""
-    rows = wordbpe.encode_and_decode(frame(spark).repartition(3), block_chars=block_chars, hot_rows=hot_rows).collect()
+@pytest.mark.parametrize("block_chars, buckets", [(1 << 22, None), (64, 3)])
+def test_equals_the_library(spark, block_chars, buckets):
+    """One block or many, many buckets or few."""
+    rows = wordbpe.encode_and_decode(frame(spark).repartition(3), block_chars=block_chars, buckets=buckets).collect()
     assert len(rows) == len(TEXTS) + 1
     for r in rows:
         text = TEXTS[3 if r["doc_id"] is None else r["doc_id"]] or ""
