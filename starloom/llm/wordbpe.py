@@ -1,7 +1,7 @@
 """Byte-level BPE by one global shuffle of distinct words.
 
-1. Texts are cut by the splitting pattern; the words of a block of documents are exploded with their positions: each distinct word of the block
-   once, beside the list of its positions. A block's words travel packed, one row for each hash bucket of words.
+1. Texts are cut by the splitting pattern; the words of a block of documents are exploded with their positions: each position of the block has the
+   number of its word, each distinct word of the block is listed once. A block's words travel packed, one row for each hash bucket of words.
 2. The words of all blocks meet by bucket in one shuffle; each distinct word lies in one bucket and is encoded there once, by the ranks. A
    frequent word comes once a block, whatever its occurrences, and buckets are alike in size.
 3. The ids go back to the blocks, where they join the positions: a document's ids are those of its words in a row.
@@ -41,7 +41,7 @@ _EXPLODED = "block long, k int, words binary, positions binary, doc_ids array<lo
 #: Characters of a block. Its distinct words are in memory, the words of its texts aren't.
 WORD_BLOCK = 4 * BLOCK_CHARS
 #: Hash buckets of words for each 2^30 bytes that the plan expects, and at most in all: a task holds the distinct words of one.
-BUCKETS_PER_GB = 64
+BUCKETS_PER_GB = 16
 MOST_BUCKETS = 8192
 
 
@@ -106,28 +106,26 @@ def _exploded(split: Callable[[], Callable[[str], list[str]]], block_chars: int,
         yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-1], pa.int32()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()), *lists], names)
         if not known:
             return
-        words = [w.encode() for w in known]
-        bucket = [zlib.crc32(w) % buckets for w in words]
-        order = sorted(range(len(words)), key=lambda i: (bucket[i], words[i]))
-        place = np.empty(len(words), np.int64)
-        place[order] = np.arange(len(words))
-        code = place[np.concatenate(codes)]
-        at = np.argsort(code, kind="stable")
-        number = np.bincount(code, minlength=len(words))
-        ends = np.cumsum(number)
-        gaps = np.diff(at, prepend=0)
-        gaps[ends[:-1]] = at[ends[:-1]]  # a word's first position counts from the block's start
-        data, cuts = varints(gaps)
-        bucket = np.array(bucket)[order]
-        first = np.flatnonzero(np.diff(bucket, prepend=-1))
+        words, code = [w.encode() for w in known], np.concatenate(codes)
+        number = np.bincount(code)
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int64, len(words))
+        spelt = np.empty(len(words), np.int64)
+        spelt[sorted(range(len(words)), key=words.__getitem__)] = np.arange(len(words))
+        order = np.lexsort((spelt, bucket, -number))  # frequent words get small numbers; among equals, a bucket's words follow each other
+        rank = np.empty(len(words), np.int64)
+        rank[order] = np.arange(len(words))
+        bucket = bucket[order]
+        positions = packed(varints(rank[code])[0].tobytes(), bucket.astype("<u2").tobytes())
+        yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([-2], pa.int32()), pa.nulls(1, pa.binary()), pa.array([positions], pa.binary()), pa.nulls(1, lists[0].type), pa.nulls(1, lists[1].type)], names)
+        dealt = np.argsort(bucket, kind="stable")
+        first = np.flatnonzero(np.diff(bucket[dealt], prepend=-1))
         rows = []
-        for low, high in zip(first.tolist(), [*first[1:].tolist(), len(words)], strict=True):
-            own = [words[i] for i in order[low:high]]
-            begin = cuts[ends[low - 1] - 1] if low else 0
-            rows.append((packed(_numbers(map(len, own), len(own)), b"".join(own)), packed(varints(number[low:high])[0].tobytes(), data[begin : cuts[ends[high - 1] - 1]].tobytes())))
+        for members in np.split(order[dealt], first[1:]):
+            own = [words[i] for i in members.tolist()]
+            rows.append(packed(_numbers(map(len, own), len(own)), b"".join(own)))
         n = len(rows)
-        columns = [pa.array(np.full(n, block)), pa.array(bucket[first].astype(np.int32)), *[pa.array([r[i] for r in rows], pa.binary()) for i in (0, 1)]]
-        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, lists[0].type), pa.nulls(n, lists[1].type)], names)
+        columns = [pa.array(np.full(n, block)), pa.array(bucket[dealt][first].astype(np.int32)), pa.array(rows, pa.binary())]
+        yield pa.RecordBatch.from_arrays([*columns, pa.nulls(n, pa.binary()), pa.nulls(n, lists[0].type), pa.nulls(n, lists[1].type)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut, part, number = split(), TaskContext.get().partitionId(), 0
@@ -205,17 +203,16 @@ class TokenBytes:
 
 
 def _placed(block: pa.Table) -> tuple[list, np.ndarray, np.ndarray]:
-    """Document ids, numbers of tokens and all ids of a block, from its rows by bucket: its own, words' positions, words' ids."""
+    """Document ids, numbers of tokens and all ids of a block, from its rows by k: the words of its positions (-2), its documents (-1), ids by bucket."""
     own = block.filter(pc.is_valid(block["doc_ids"]))
     doc_ids, words = own["doc_ids"][0].as_py(), np.array(own["sizes"][0].as_py(), np.int64)
-    where = [unpacked(x) for x in block["positions"].drop_null().to_pylist()]
-    number, gaps = (unvarints(np.frombuffer(b"".join(x[i] for x in where), np.uint8)) for i in (0, 1))
     ids = [unpacked(x) for x in block["ids"].drop_null().to_pylist()]
-    steps = np.cumsum(gaps)
-    first = np.cumsum(number) - number
-    before = np.concatenate(([0], steps))[first]
-    code = np.empty(len(steps), np.int64)
-    code[steps - np.repeat(before, number)] = np.repeat(np.arange(len(number)), number)
+    code = np.zeros(0, np.int64)
+    if ids:
+        numbers, bucket = unpacked(block["positions"].drop_null()[0].as_py())
+        place = np.empty(len(bucket) // 2, np.int64)
+        place[np.argsort(np.frombuffer(bucket, "<u2"), kind="stable")] = np.arange(len(place))
+        code = place[unvarints(np.frombuffer(numbers, np.uint8))]
     parts = [unvarints(np.frombuffer(x[0], np.uint8)) for x in ids]
     flat = np.concatenate([np.zeros(0, np.uint32), *(np.frombuffer(x[1], "<u2" if len(x[1]) == 2 * n.sum() else "<u4") for x, n in zip(ids, parts, strict=True))]).astype(np.int64)
     sizes = np.concatenate([np.zeros(0, np.int64), *parts])
