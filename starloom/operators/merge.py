@@ -42,14 +42,15 @@ def upsert(
 
 
 def insert_new(
-    target: DataFrame, source: DataFrame, keys: Sequence[str], surrogate: str, known: DataFrame | None = None
+    target: DataFrame, source: DataFrame, keys: Sequence[str], surrogate: str, known: DataFrame | None = None, start: int | None = None
 ) -> DataFrame:
     """Rows of `source` (one per natural key) that the dimension lacks, with keys after its maximum.
 
-    `known` are the rows of the dimension that count as present (all by default); keys follow the maximum over all rows.
+    `known` are the rows of the dimension that count as present (all by default); keys follow the maximum over all rows,
+    or `start`, the largest key given so far, where `target` is only a part of the dimension.
     """
     fresh = not_loaded(source, target if known is None else known, keys)
-    keyed = dense_key(fresh, surrogate, keys, max_key(target, surrogate))
+    keyed = dense_key(fresh, surrogate, keys, max_key(target, surrogate) if start is None else start)
     return keyed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema])
 
 
@@ -62,12 +63,14 @@ def scd1_merge(
     compare_cols: Sequence[str] | None = None,
     extra: dict[str, Column] | None = None,
     ts: str | None = None,
+    start: int | None = None,
 ) -> DataFrame:
     """Overwrite changed members, insert new ones.
 
     A member is rewritten as a whole when any of `compare_cols` (default: all of `attrs` but
     the update time) differs; with `ts`, only by a record that is not older than the member.
-    `extra` gives constants for columns that only new members set.
+    `extra` gives constants for columns that only new members set. `start` is the largest key given so far
+    where `dim` is only a part of the dimension.
     """
     compare = list(compare_cols or [a for a in attrs if a != ts])
     side = staged.select(F.col(key).alias("_id"), F.struct(*attrs).alias("_s"))
@@ -77,7 +80,7 @@ def scd1_merge(
     kept = dim.join(side, F.col(key) == F.col("_id"), "left").select(
         *[F.when(differs, F.col(f"_s.{c}")).otherwise(F.col(c)).alias(c) if c in attrs else F.col(c) for c in dim.columns]
     )
-    fresh = dense_key(not_loaded(staged, dim, [key]), surrogate, [key], max_key(dim, surrogate))
+    fresh = dense_key(not_loaded(staged, dim, [key]), surrogate, [key], max_key(dim, surrogate) if start is None else start)
     for name, value in (extra or {}).items():
         fresh = fresh.withColumn(name, value)
     return kept.unionByName(_like(fresh, dim))
@@ -132,20 +135,20 @@ def scd2_changes(
 
 
 def scd2_merge(
-    dim: DataFrame, staged: DataFrame, tracked: Sequence[str], ts: str, spec: Versioned = CUSTOMER_VERSIONS
+    dim: DataFrame, staged: DataFrame, tracked: Sequence[str], ts: str, spec: Versioned = CUSTOMER_VERSIONS, start: int | None = None
 ) -> DataFrame:
     """The dimension after a batch: history untouched, changed versions closed, new versions open.
 
     Closed and new versions, which are few beside the dimension, are written once; the
     dimension itself is then passed through an anti join with the closed keys. New versions get keys
-    after the largest one so far.
+    after the largest one so far: `start`, where `dim` is only a part of the dimension.
     """
     changes = scd2_changes(dim, staged, tracked, ts, spec)
     delta = materialize(changes.filter("action <> 'keep'"), "scd2-delta")
     closed = delta.filter("action = 'expire'").drop("action")
     inserted = dense_key(
         delta.filter("action = 'insert'").drop("action", spec.surrogate),
-        spec.surrogate, [spec.key, spec.start], max_key(dim, spec.surrogate),
+        spec.surrogate, [spec.key, spec.start], max_key(dim, spec.surrogate) if start is None else start,
     )
     untouched = dim.join(closed.select(spec.surrogate), spec.surrogate, "left_anti").select(*dim.columns)
     return untouched.unionByName(closed).unionByName(_like(inserted, dim))

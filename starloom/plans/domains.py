@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import date_key
-from ..operators.joins import current_only, not_loaded
+from ..operators.joins import current_only, not_loaded, only_known
 from ..operators.keys import dedupe_latest, dense_key, max_key
 from ..operators.measures import (
     TEMP_RANGE, article_measures, bar_measures, eligible_articles, eligible_bars, eligible_observations, source_identifier,
@@ -25,37 +25,50 @@ READING_FACT = (
     "temp_max_c", "pressure_hpa", "humidity_pct", "wind_speed_ms", "wind_deg", "clouds_pct", "weather_main",
     "weather_desc", "visibility_m", "rain_1h_mm", "snow_1h_mm",
 )
+READING_GRAIN = ["location_key", "date_key", "observation_hour"]
 ARTICLE_FACT = (
     "news_fact_key", "date_key", "source_key", "title", "description", "author", "url", "topic",
     "title_word_count", "has_image", "published_hour",
 )
 
 
-def load_companies(dim: DataFrame, raw: DataFrame) -> DataFrame:
-    """One current company per ticker without a current row, valid from its first ingest, with keys after those of all rows."""
+def new_companies(dim: DataFrame, raw: DataFrame, first_key: int | None = None) -> DataFrame:
+    """One current company per ticker without a current row, valid from its first ingest, with keys after those of all rows.
+
+    Here and in the other `new_` functions `dim` may be the rows that can match, then with the largest key given so far.
+    """
     firsts = raw.groupBy("ticker").agg(F.min("ingested_at").alias("effective_start_date")).select(
         "ticker", F.col("ticker").alias("company_name"), "effective_start_date", F.lit(True).alias("is_current")
     )
-    fresh = insert_new(dim, firsts, ["ticker"], "company_key", known=current_only(dim))
-    return dim.unionByName(fresh)
+    return insert_new(dim, firsts, ["ticker"], "company_key", known=current_only(dim), start=first_key)
 
 
-def _key_after(facts: DataFrame, key: str, natural: Sequence[str], loaded: DataFrame | None) -> DataFrame:
-    start = max_key(loaded, key) if loaded is not None else 0
+def load_companies(dim: DataFrame, raw: DataFrame) -> DataFrame:
+    """The dimension with its new companies."""
+    return dim.unionByName(new_companies(dim, raw))
+
+
+def _key_after(facts: DataFrame, key: str, natural: Sequence[str], loaded: DataFrame | None, first_key: int | None = None) -> DataFrame:
+    start = first_key if first_key is not None else max_key(loaded, key) if loaded is not None else 0
     return dense_key(facts, key, natural, start)
 
 
-def stock_facts(raw: DataFrame, dim_company: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+def stock_facts(
+    raw: DataFrame, dim_company: DataFrame, loaded: DataFrame | None = None, only: DataFrame | None = None, first_key: int | None = None
+) -> DataFrame:
     """New bars with their measures.
 
     Returns look at the whole raw history; bars already loaded are removed afterwards,
-    so the first bar of an increment still knows the bar before it.
+    so the first bar of an increment still knows the bar before it. `only` names the bars (ticker, trade_date) to
+    load; `loaded` may then be the part of the fact that can hold them, with the largest key given so far.
     """
     measured = bar_measures(raw.filter(eligible_bars())).withColumn("date_key", date_key("trade_date"))
+    if only is not None:
+        measured = only_known(measured, only, ["ticker", "trade_date"])
     bars = measured.join(current_only(dim_company).select("ticker", "company_key"), "ticker")
     if loaded is not None:
         bars = not_loaded(bars, loaded, ["company_key", "date_key"])
-    return _key_after(bars, "stock_fact_key", ["ticker", "trade_date"], loaded).select(*STOCK_FACT)
+    return _key_after(bars, "stock_fact_key", ["ticker", "trade_date"], loaded, first_key).select(*STOCK_FACT)
 
 
 def upsert_stock_facts(loaded: DataFrame, facts: DataFrame) -> DataFrame:
@@ -63,12 +76,17 @@ def upsert_stock_facts(loaded: DataFrame, facts: DataFrame) -> DataFrame:
     return upsert(loaded, facts, ["date_key", "company_key"], ["close_price", "volume"])
 
 
-def load_locations(dim: DataFrame, raw: DataFrame) -> DataFrame:
+def new_locations(dim: DataFrame, raw: DataFrame, first_key: int | None = None) -> DataFrame:
     """New (city, country) pairs with the coordinates first ingested for them."""
     first = F.min_by(F.struct("latitude", "longitude"), F.struct("ingested_at", "latitude", "longitude"))
     pairs = raw.filter(F.col("city").isNotNull()).groupBy("city", "country_code").agg(first.alias("_at"))
     pairs = pairs.select("city", "country_code", "_at.latitude", "_at.longitude")
-    return dim.unionByName(insert_new(dim, pairs, ["city", "country_code"], "location_key"))
+    return insert_new(dim, pairs, ["city", "country_code"], "location_key", start=first_key)
+
+
+def load_locations(dim: DataFrame, raw: DataFrame) -> DataFrame:
+    """The dimension with its new places."""
+    return dim.unionByName(new_locations(dim, raw))
 
 
 def refresh_locations(dim: DataFrame, raw: DataFrame) -> DataFrame:
@@ -80,10 +98,8 @@ def refresh_locations(dim: DataFrame, raw: DataFrame) -> DataFrame:
     return moved.unionByName(insert_new(dim, pairs, ["city", "country_code"], "location_key"))
 
 
-def reading_facts(
-    raw: DataFrame, dim_location: DataFrame, loaded: DataFrame | None = None, temp_range: tuple[float, float] = TEMP_RANGE
-) -> DataFrame:
-    """New hourly readings per place: in range, newest per hour, not loaded before."""
+def hourly_readings(raw: DataFrame, dim_location: DataFrame, temp_range: tuple[float, float] = TEMP_RANGE) -> DataFrame:
+    """Readings per place and hour: in range, the newest of an hour."""
     zero = F.lit(0.0)
     ranged = raw.filter(eligible_observations(*temp_range)).withColumns(
         {
@@ -94,18 +110,33 @@ def reading_facts(
         }
     )
     placed = ranged.join(dim_location.select("city", "country_code", "location_key"), ["city", "country_code"])
-    grain = ["location_key", "date_key", "observation_hour"]
-    hourly = dedupe_latest(placed, grain, ["observation_dt"], ["ingested_at", "temp_celsius"])
+    return dedupe_latest(placed, READING_GRAIN, ["observation_dt"], ["ingested_at", "temp_celsius"])
+
+
+def new_readings(hourly: DataFrame, loaded: DataFrame | None = None, first_key: int | None = None) -> DataFrame:
+    """Hourly readings not loaded before; `loaded` may be the part of the fact that can hold them, then with the largest key so far."""
     if loaded is not None:
-        hourly = not_loaded(hourly, loaded, grain)
-    return _key_after(hourly, "weather_fact_key", grain, loaded).select(*READING_FACT)
+        hourly = not_loaded(hourly, loaded, READING_GRAIN)
+    return _key_after(hourly, "weather_fact_key", READING_GRAIN, loaded, first_key).select(*READING_FACT)
 
 
-def load_sources(dim: DataFrame, raw: DataFrame) -> DataFrame:
+def reading_facts(
+    raw: DataFrame, dim_location: DataFrame, loaded: DataFrame | None = None, temp_range: tuple[float, float] = TEMP_RANGE
+) -> DataFrame:
+    """New hourly readings per place: in range, newest per hour, not loaded before."""
+    return new_readings(hourly_readings(raw, dim_location, temp_range), loaded)
+
+
+def new_sources(dim: DataFrame, raw: DataFrame, first_key: int | None = None) -> DataFrame:
     """New source names, with their id or a slug of the name."""
     named = raw.filter(has_text("source_name")).withColumn("source_id", source_identifier())
     sources = named.groupBy("source_name").agg(F.min("source_id").alias("source_id"))
-    return dim.unionByName(insert_new(dim, sources, ["source_name"], "source_key"))
+    return insert_new(dim, sources, ["source_name"], "source_key", start=first_key)
+
+
+def load_sources(dim: DataFrame, raw: DataFrame) -> DataFrame:
+    """The dimension with its new sources."""
+    return dim.unionByName(new_sources(dim, raw))
 
 
 def article_identity(df: DataFrame) -> DataFrame:
@@ -114,16 +145,25 @@ def article_identity(df: DataFrame) -> DataFrame:
     return df.withColumn("_article", F.coalesce(F.nullif(F.trim("url"), F.lit("")), F.sha2(parts, 256)))
 
 
-def article_facts(raw: DataFrame, dim_source: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
-    """New articles with word count, image flag and hour; one per url (or identity without url)."""
+def single_articles(raw: DataFrame, dim_source: DataFrame) -> DataFrame:
+    """Articles with word count, image flag and hour; one per url (or identity without url)."""
     measured = article_measures(raw.filter(eligible_articles()))
     sourced = measured.join(dim_source.select("source_name", "source_key"), "source_name")
     sourced = article_identity(sourced.withColumn("_source", F.col("source_key").cast("string")))
-    single = dedupe_latest(sourced, ["_article"], ["ingested_at", "published_at"], ["title"])
+    return dedupe_latest(sourced, ["_article"], ["ingested_at", "published_at"], ["title"])
+
+
+def new_articles(single: DataFrame, loaded: DataFrame | None = None, first_key: int | None = None) -> DataFrame:
+    """Single articles not loaded before; `loaded` may be the part of the fact that can hold them, then with the largest key so far."""
     if loaded is not None:
         seen = article_identity(loaded.withColumn("_source", F.col("source_key").cast("string")))
         single = not_loaded(single, seen, ["_article"])
-    return _key_after(single, "news_fact_key", ["_article"], loaded).select(*ARTICLE_FACT)
+    return _key_after(single, "news_fact_key", ["_article"], loaded, first_key).select(*ARTICLE_FACT)
+
+
+def article_facts(raw: DataFrame, dim_source: DataFrame, loaded: DataFrame | None = None) -> DataFrame:
+    """New articles of a raw table."""
+    return new_articles(single_articles(raw, dim_source), loaded)
 
 
 def upsert_article_facts(loaded: DataFrame, facts: DataFrame) -> DataFrame:

@@ -28,25 +28,25 @@ def product_dim(clean: DataFrame) -> DataFrame:
     return keyed.withColumn("is_active", F.lit(True)).select(*_names(schemas.DIM_PRODUCT))
 
 
-def load_products(dim: DataFrame | None, clean: DataFrame, compare_cols: Sequence[str] | None = None) -> DataFrame:
-    """Overwrite changed products, insert new ones."""
+def load_products(dim: DataFrame | None, clean: DataFrame, compare_cols: Sequence[str] | None = None, first_key: int | None = None) -> DataFrame:
+    """Overwrite changed products, insert new ones. `dim` may be the part that the batch can touch, then with the largest key so far."""
     if dim is None:
         keyed = dense_key(clean, "product_key", ["product_id"])
         return keyed.withColumn("is_active", F.lit(True)).select(*_names(schemas.DIM_PRODUCT))
     return scd1_merge(
-        dim, clean, "product_id", PRODUCT_ATTRIBUTES, "product_key", compare_cols, {"is_active": F.lit(True)}, "updated_at"
+        dim, clean, "product_id", PRODUCT_ATTRIBUTES, "product_key", compare_cols, {"is_active": F.lit(True)}, "updated_at", first_key
     )
 
 
-def load_customers(dim: DataFrame | None, clean: DataFrame) -> DataFrame:
-    """Apply one batch of cleaned customers to the versioned dimension."""
+def load_customers(dim: DataFrame | None, clean: DataFrame, first_key: int | None = None) -> DataFrame:
+    """Apply one batch of cleaned customers to the versioned dimension, or to the part that the batch can touch, then with the largest key so far."""
     if dim is None:
         first = clean.select(
             "customer_id", *CUSTOMER_ATTRIBUTES, F.col("updated_at").alias("effective_start_date"),
             F.lit(None).cast("timestamp").alias("effective_end_date"), F.lit(True).alias("is_current"),
         )
         return dense_key(first, "customer_key", ["customer_id"]).select(*_names(schemas.DIM_CUSTOMER))
-    return scd2_merge(dim, clean, CUSTOMER_ATTRIBUTES, "updated_at")
+    return scd2_merge(dim, clean, CUSTOMER_ATTRIBUTES, "updated_at", start=first_key)
 
 
 def customers_from_batches(batches: Sequence[DataFrame]) -> DataFrame:
@@ -83,12 +83,14 @@ def sales_facts(
     strategy: str | None = None,
     created_at: Column | None = None,
     dense: bool = False,
+    first_key: int | None = None,
 ) -> DataFrame:
     """New rows of the sales fact for cleaned order lines.
 
     Each line gets the customer version in force at its time (``late=True``: with the current,
     then any version as fallback, and margin 0 for net <= 0). Lines already in `loaded` are left out
-    before the joins. `take` adds customer columns. Fact keys are unique, and gap-free with ``dense=True``.
+    before the joins. `take` adds customer columns. Fact keys are unique, and gap-free with ``dense=True``;
+    they follow `first_key` where `loaded` is only the part of the fact that can hold a line of the batch.
     """
     if loaded is not None:
         orders = not_loaded(orders, loaded, ["order_id", "order_line_number"])
@@ -101,7 +103,7 @@ def sales_facts(
             "created_at": created_at if created_at is not None else F.current_timestamp(),
         }
     )
-    start = max_key(loaded, "sales_fact_key") if loaded is not None else 0
+    start = first_key if first_key is not None else max_key(loaded, "sales_fact_key") if loaded is not None else 0
     if dense:
         keyed = dense_key(measured, "sales_fact_key", ["order_id", "order_line_number"], start)
     else:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,21 +50,53 @@ def preview(
     return tables[name].limit(rows)
 
 
+def _copy(source: TableStore, target: TableStore, name: str, entry: dict, segments: list[dict]) -> list[dict]:
+    """Write segments of the source below the target in one job, each as a segment of its own that names its origin."""
+    if not segments:
+        return []
+    folder = f"seg={uuid.uuid4().hex}"
+    numbers = source.spark.createDataFrame([(s["path"], k) for k, s in enumerate(segments)], "_origin string, seg_part int")
+    rows = source.segments(name, entry, segments)
+    origin = F.regexp_extract(F.col("_metadata.file_path"), r"(seg=[^/]+(?:/seg_part=[^/]+)?)/[^/]+$", 1)
+    numbered = rows.select("*", origin.alias("_origin")).join(F.broadcast(numbers), "_origin").drop("_origin")  # a row per segment
+    numbered.hint("rebalance", "seg_part").write.mode("errorifexists").partitionBy("seg_part").parquet(f"{target.root}/{name}/{folder}")
+    return [{**s, "path": f"{folder}/seg_part={k}", "origin": s["path"], "filter": None, "slices": 0} for k, s in enumerate(segments)]
+
+
+def refresh_replica(source: TableStore, target: TableStore, names: Sequence[str] = REPLICATED_TABLES) -> dict[str, dict[str, int]]:
+    """Bring another store to the source's state in one commit, by the difference of the two manifests.
+
+    Segments never change, so those the target has copied before stay; new ones are copied, those the source has dropped
+    are dropped. Returns copied_segments, copied_rows and dropped_segments of each table; nothing new, no commit.
+    """
+    now, txn, out = source.manifest(), target.begin(), {}
+    for name in [n for n in names if n in now["tables"]]:
+        entry = now["tables"][name]
+        mine = txn.tables.get(name)
+        had = {s.get("origin"): s for s in mine["segments"]} if mine is not None else {}
+        missing = [s for s in entry["segments"] if s["path"] not in had]
+        gone = set(had) - {s["path"] for s in entry["segments"]}
+        if mine is None or missing or gone or any(mine[k] != entry[k] for k in ("schema", "high")):
+            copied = {s["origin"]: s for s in _copy(source, target, name, entry, missing)}
+            txn.adopt(name, entry, [copied.get(s["path"]) or had[s["path"]] for s in entry["segments"]])
+        out[name] = {"copied_segments": len(missing), "copied_rows": sum(s["rows"] for s in missing), "dropped_segments": len(gone)}
+    if txn.tables != txn.base["tables"]:
+        txn.commit()
+    return out
+
+
 def replicate(source: TableStore, target: TableStore | None, names: Sequence[str] = REPLICATED_TABLES) -> DataFrame:
-    """Copy whole tables to another store in one commit and return (table_name, source_rows, target_rows).
+    """Bring tables of another store up to date in one commit and return (table_name, source_rows, target_rows).
 
-    Without a target this is a dry run that only counts. Missing tables are skipped, and an emptied
-    table empties the target's copy. Counts come from the written files, not from the copy job.
+    Only segments the target lacks are copied. Without a target this is a dry run that only counts. Missing tables are
+    skipped, and an emptied table empties the target's copy. Counts come from the written files, not from the copy job.
     """
     tables = {n: source.read(n) for n in names}
     present = {n: t for n, t in tables.items() if t is not None}
     counted = table_counts(present).withColumnRenamed("row_count", "source_rows")
     if target is None:
         return counted.withColumn("target_rows", F.lit(None).cast("bigint"))
-    txn = target.begin()
-    for name, table in present.items():
-        txn.replace(name, table)
-    txn.commit()
+    refresh_replica(source, target, names)
     copied = table_counts({n: target.read(n) for n in present})
     return counted.join(copied.withColumnRenamed("row_count", "target_rows"), "table_name")
 

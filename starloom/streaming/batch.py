@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..functions.dates import date_key
 from ..operators.clean import (
     CUSTOMER_ATTRIBUTES, clean_customers, clean_orders, clean_products, normalise_headers, order_reject_rules, route, split_rejects,
     stage_customers, stage_news, stage_orders, stage_products, stage_stocks, stage_weather,
@@ -29,7 +30,7 @@ from ..plans.insights import insight_row
 from ..plans.marts import vip_orders
 from ..plans.sales import load_customers, load_products, sales_facts
 from ..session import materialize, scratch_path
-from ..sources.sinks import replicate
+from ..sources.sinks import refresh_replica
 from ..sources.store import TableStore, Transaction
 
 # Errors the batch itself causes; anything else (a lost executor, a full disk) is raised and the batch replayed.
@@ -87,11 +88,6 @@ def _append(txn: Transaction, name: str, rows: DataFrame, counters: dict[str, in
     return written
 
 
-def _or_empty(txn: Transaction, name: str, ddl: str) -> DataFrame:
-    table = txn.read(name)
-    return table if table is not None else schemas.empty(txn.store.spark, ddl)
-
-
 def _with_inferred(frame: DataFrame, keys: tuple[str, ...], described_by: tuple[str, ...], stage, known: DataFrame | None, key: str, as_of) -> DataFrame:
     """Staged members of a batch: described ones, and bare ids that nobody knows yet.
 
@@ -108,31 +104,47 @@ def _with_inferred(frame: DataFrame, keys: tuple[str, ...], described_by: tuple[
     return staged.unionByName(bare)
 
 
+def _load_members(part: DataFrame, txn: Transaction, counters: dict[str, int], as_of, names: tuple[str, str], keys, described_by, stage, clean, load) -> None:
+    """Members of one dimension: staged, and merged into the hash buckets that hold their ids; other buckets are neither read nor written."""
+    table, staging = names
+    natural, raw_key = keys
+    ids = clean(stage(part, as_of)).select(natural)
+    dim = txn.read_buckets(table, ids) if txn.layout(table) is not None else txn.read(table)
+    known = dim.select(F.col(natural).alias(raw_key)) if dim is not None else None
+    members = _with_inferred(part, keys, described_by, stage, known, raw_key, as_of)
+    before = counters["records_loaded"]
+    staged = _append(txn, staging, members, counters, "records_loaded")
+    if dim is None:
+        txn.replace(table, load(None, clean(staged)))
+    elif counters["records_loaded"] > before:
+        merged = load(dim, clean(staged), first_key=txn.high(table) if txn.layout(table) is not None else None)
+        if txn.layout(table) is not None:
+            txn.replace_buckets(table, merged, txn.buckets(table, ids))
+        else:
+            txn.replace(table, merged)
+
+
 def _load_sales(parts: dict[str, DataFrame], txn: Transaction, run_id: str, counters: dict[str, int], as_of) -> None:
     if not any(p in parts for p in _SALES_PARTS):
         return
     if "customers" in parts:
-        dim = txn.read("dim_customer")
-        known = dim.select(F.col("customer_id").alias("raw_customer_id")) if dim is not None else None
-        members = _with_inferred(parts["customers"], _KEYS["customers"], CUSTOMER_ATTRIBUTES, stage_customers, known, "raw_customer_id", as_of)
-        staged = _append(txn, "stg_customers", members, counters, "records_loaded")
-        txn.replace("dim_customer", load_customers(dim, clean_customers(staged)))
+        names = ("dim_customer", "stg_customers")
+        _load_members(parts["customers"], txn, counters, as_of, names, _KEYS["customers"], CUSTOMER_ATTRIBUTES, stage_customers, clean_customers, load_customers)
     if "products" in parts:
-        dim = txn.read("dim_product")
-        known = dim.select(F.col("product_id").alias("raw_product_id")) if dim is not None else None
-        members = _with_inferred(parts["products"], _KEYS["products"], _PRODUCT_MARKS, stage_products, known, "raw_product_id", as_of)
-        staged = _append(txn, "stg_products", members, counters, "records_loaded")
-        txn.replace("dim_product", load_products(dim, clean_products(staged)))
+        names = ("dim_product", "stg_products")
+        _load_members(parts["products"], txn, counters, as_of, names, _KEYS["products"], _PRODUCT_MARKS, stage_products, clean_products, load_products)
     if "orders" not in parts:
         return
     valid, rejects = split_rejects(stage_orders(parts["orders"], as_of), order_reject_rules())
     staged = _append(txn, "stg_orders", valid, counters, "records_loaded")
     log = reject_log(rejects, "stg_orders", run_id, ["order_id", "customer_id", "product_id", "quantity"], as_of)
     _append(txn, "data_quality_log", log, counters, "records_rejected")
-    customers, products = txn.read("dim_customer"), txn.read("dim_product")
+    lines = clean_orders(staged)
+    customers, products = txn.read_buckets("dim_customer", lines), txn.read_buckets("dim_product", lines)
     if customers is None or products is None:  # no line of this batch names both
         return
-    facts = sales_facts(clean_orders(staged), customers, products, txn.read("fact_sales"), late=True, created_at=as_of, dense=True)
+    loaded = txn.read_matching("fact_sales", lines)
+    facts = sales_facts(lines, customers, products, loaded, late=True, created_at=as_of, dense=True, first_key=txn.high("fact_sales"))
     written = _append(txn, "fact_sales", facts, counters, "records_transformed")
     alerts = high_value_alerts(vip_orders(written, customers, ["created_at", "order_date_key", "order_id", "order_line_number"]))
     txn.append("alerts", _alert_rows(alerts, run_id))
@@ -163,15 +175,25 @@ def _gate(raw: DataFrame, table: str, txn: Transaction, run_id: str) -> None:
     txn.append("alerts", _alert_rows(failed, run_id))
 
 
+def _matching(txn: Transaction, name: str, incoming: DataFrame, ddl: str) -> DataFrame:
+    """The members of a dimension that incoming rows can match."""
+    table = txn.read_matching(name, incoming)
+    return table if table is not None else schemas.empty(txn.store.spark, ddl)
+
+
 def _load_stocks(staged: DataFrame, txn: Transaction, run_id: str, counters: dict[str, int], as_of) -> None:
     raw = _append(txn, "raw_stock_prices", _shape(_lineage(staged, run_id, "upload", as_of), schemas.RAW_STOCK_PRICES), counters, "records_loaded")
     _gate(raw, "raw_stock_prices", txn, run_id)
-    companies = txn.replace("dim_company", domains.load_companies(_or_empty(txn, "dim_company", schemas.DIM_COMPANY), raw))
+    txn.append("dim_company", domains.new_companies(_matching(txn, "dim_company", raw, schemas.DIM_COMPANY), raw, txn.high("dim_company")))
+    companies = _matching(txn, "dim_company", raw, schemas.DIM_COMPANY)
     # returns need the history of the tickers in the batch, and only theirs
     touched = raw.select("ticker").distinct()
-    history = only_known(txn.read("raw_stock_prices"), touched, ["ticker"])
+    history = only_known(txn.read_buckets("raw_stock_prices", touched), touched, ["ticker"])
     history = dedupe_latest(history, ["ticker", "trade_date"], ["ingested_at"], ["close_price", "volume"])
-    facts = domains.stock_facts(history, companies, txn.read("fact_stock_prices"))
+    bars = raw.select("ticker", "trade_date").distinct()
+    keys = bars.join(companies.select("ticker", "company_key"), "ticker").withColumn("date_key", date_key("trade_date"))
+    loaded = txn.read_matching("fact_stock_prices", keys)
+    facts = domains.stock_facts(history, companies, loaded, bars, txn.high("fact_stock_prices"))
     _append(txn, "fact_stock_prices", facts, counters, "records_transformed")
 
 
@@ -179,8 +201,9 @@ def _load_weather(staged: DataFrame, txn: Transaction, run_id: str, counters: di
     shaped = _shape(_lineage(staged, run_id, "upload", as_of), schemas.RAW_WEATHER)
     raw = _append(txn, "raw_weather_observations", shaped, counters, "records_loaded")
     _gate(raw, "raw_weather_observations", txn, run_id)
-    places = txn.replace("dim_location", domains.load_locations(_or_empty(txn, "dim_location", schemas.DIM_LOCATION), raw))
-    facts = domains.reading_facts(raw, places, txn.read("fact_weather_readings"))
+    txn.append("dim_location", domains.new_locations(_matching(txn, "dim_location", raw, schemas.DIM_LOCATION), raw, txn.high("dim_location")))
+    hourly = domains.hourly_readings(raw, _matching(txn, "dim_location", raw, schemas.DIM_LOCATION))
+    facts = domains.new_readings(hourly, txn.read_matching("fact_weather_readings", hourly), txn.high("fact_weather_readings"))
     _append(txn, "fact_weather_readings", facts, counters, "records_transformed")
 
 
@@ -188,8 +211,9 @@ def _load_news(staged: DataFrame, txn: Transaction, run_id: str, counters: dict[
     shaped = _shape(_lineage(staged, run_id, "upload", as_of), schemas.RAW_NEWS)
     raw = _append(txn, "raw_news_articles", shaped, counters, "records_loaded")
     _gate(raw, "raw_news_articles", txn, run_id)
-    sources = txn.replace("dim_news_source", domains.load_sources(_or_empty(txn, "dim_news_source", schemas.DIM_NEWS_SOURCE), raw))
-    facts = domains.article_facts(raw, sources, txn.read("fact_news_articles"))
+    txn.append("dim_news_source", domains.new_sources(_matching(txn, "dim_news_source", raw, schemas.DIM_NEWS_SOURCE), raw, txn.high("dim_news_source")))
+    single = domains.single_articles(raw, _matching(txn, "dim_news_source", raw, schemas.DIM_NEWS_SOURCE))
+    facts = domains.new_articles(single, txn.read_matching("fact_news_articles", single), txn.high("fact_news_articles"))
     _append(txn, "fact_news_articles", facts, counters, "records_transformed")
 
 
@@ -270,5 +294,5 @@ def process_batch(
     ]
     txn.commit(stream, batch_id)
     if replica is not None and any(done):
-        replicate(store, replica, replicated or store.names())
+        refresh_replica(store, replica, replicated or store.names())
     return "completed" if all(done) else "failed"
