@@ -11,7 +11,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 QUICK = [
     "mom_revenue", "cohort_retention", "clean_customers", "clean_orders", "routed_batch", "text_functions", "date_functions", "customer_dim_one_pass",
     "scd2_event_log", "fact_sales_pit", "not_in", "daily_bars", "price_forecast", "observation_facts", "article_measures", "lexicon_sentiment", "staging_gates",
-    "csv_dialect_load", "json_articles", "revenue_forecast",
+    "csv_dialect_load", "json_articles", "revenue_forecast", "fact_replay", "dimension_buckets", "replicate_changes", "store_compaction",
 ]
 NAMES = sorted(entry.QUERIES) if os.environ.get("TEST_ALL_QUERIES") else QUICK
 
