@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +20,22 @@ _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__
 STEP_BYTES = 1 << 18
 
 
+#: What a worker keeps between tasks and may drop: functions that empty a cache.
+CACHES: list[Callable[[], None]] = []
+
+
+def give_back() -> None:
+    """Drop what earlier stages left in this worker and return free memory to the system; called where a stage needs much itself."""
+    for clear in CACHES:
+        clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library keeps its memory
+        pass
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -86,6 +105,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return out[0], out[1]
 
 
+CACHES.append(_powers.cache_clear)
+
+
 def _class_table(separators: str) -> tuple[np.ndarray, np.ndarray]:
     """For each byte: does it separate words, and its lower case for A-Z."""
     code = np.arange(256)

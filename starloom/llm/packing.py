@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize
-from .common import frame_steps, reachable, table
+from .common import frame_steps, give_back, reachable, table
 from .tokens import MOST_CHUNKS, encoder, tokenizer_path
 
 CAPACITY = 4096
@@ -97,6 +97,7 @@ def _packed(encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: i
     names = [c.split()[0] for c in PIECES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        give_back()
         part = TaskContext.get().partitionId()
         packer = Packer(capacity, part << 32)
         for rows, texts in frame_steps(batches):

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import reachable, steps, table, utf8
+from .common import CACHES, reachable, steps, table, utf8
 
 
 @dataclass(frozen=True)
@@ -195,6 +195,9 @@ def _prepared(rules: tuple[Rule, ...]) -> tuple[Index, list[Query]]:
     return Index(queries), queries
 
 
+CACHES.append(_prepared.cache_clear)
+
+
 def spans_of(text: str, rule: Rule) -> list[tuple[int, int]]:
     """Leftmost non-overlapping matches, without those whose group is too short."""
     return [m.span() for m in rule.compiled().finditer(text) if m.end(rule.group) - m.start(rule.group) >= rule.least]
