@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import NULL_TOKENS, has_key, has_text, trimmed_or
+from ..functions.text import NULL_TOKENS, has_key, has_text, random_id, trimmed_or
 from .keys import dedupe_latest
 
 # Accepted spellings of each staging column, preferred first.
@@ -55,6 +55,9 @@ PRODUCT_COLUMNS = (
     "product_id", "raw_product_id", "product_name", "category",
     "subcategory", "unit_price", "cost_price", "updated_at",
 )
+FINANCE_COLUMNS = ("raw_id", "amount", "category_name", "category_type", "merchant", "transaction_date", "notes")
+FITNESS_COLUMNS = ("raw_id", "workout_name", "workout_category", "duration_minutes", "calories_burned", "workout_date", "intensity")
+MEDIA_COLUMNS = ("raw_id", "title", "media_type", "genre", "creator", "consumed_date", "rating", "notes")
 ORDER_COLUMNS = (
     "order_id", "order_line_number", "customer_id", "product_id", "order_timestamp",
     "quantity", "unit_price", "discount_amount", "tax_amount",
@@ -66,6 +69,7 @@ TEMP_SPREAD = 2.0
 STOCK_DEFAULTS = {"open_price": 100.0, "volume": 1000000}
 STOCK_RATIOS = {"high_price": 1.02, "low_price": 0.98, "close_price": 1.01}
 NEWS_DEFAULTS = {"topic": "general", "source_name": "General News"}
+PERSONAL_DEFAULTS = {"category_type": "Expense", "workout_category": "Cardio", "intensity": "Moderate", "calories_burned": 0}
 DEFAULT_TIER = "Standard"
 DEFAULT_CATEGORY = "Unassigned"
 DEFAULT_SUBCATEGORY = "General"
@@ -98,6 +102,13 @@ def route(df: DataFrame) -> dict[str, DataFrame]:
         parts["customers"] = distinct_projection(df, CUSTOMER_COLUMNS)
     if have.intersection(("product_id", "raw_product_id")):
         parts["products"] = distinct_projection(df, PRODUCT_COLUMNS)
+    for name, marks, columns in (
+        ("finance", {"amount", "category_name"}, FINANCE_COLUMNS),
+        ("fitness", {"workout_name", "duration_minutes"}, FITNESS_COLUMNS),
+        ("media", {"title", "media_type"}, MEDIA_COLUMNS),
+    ):
+        if marks <= have:
+            parts[name] = df.select(*[c for c in columns if c in have])
     if {"order_id", "quantity"} <= have:
         parts["orders"] = df.select(*[c for c in ORDER_COLUMNS if c in have])
     return parts
@@ -212,6 +223,37 @@ def stage_orders(df: DataFrame, as_of: Column | None = None) -> DataFrame:
     )
 
 
+def _personal(df: DataFrame, tag: str, columns: dict[str, tuple[str, Column | None]], as_of: Column | None) -> DataFrame:
+    """Personal records in staging shape; one without an id gets a random one, which the staging table then keeps."""
+    picked = [first_present(df, (c,), kind, default).alias(c) for c, (kind, default) in columns.items()]
+    return df.select(first_present(df, ("raw_id",), "string", random_id(tag)).alias("raw_id"), *picked, _now(as_of).alias("ingested_at"))
+
+
+def stage_finance(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Transactions: the type falls back to an expense, the day to today."""
+    kind, today = F.lit(PERSONAL_DEFAULTS["category_type"]), F.to_date(_now(as_of))
+    return _personal(df, "FIN", {
+        "amount": ("decimal(12,2)", None), "category_name": ("string", None), "category_type": ("string", kind),
+        "merchant": ("string", None), "transaction_date": ("date", today), "notes": ("string", None),
+    }, as_of)
+
+
+def stage_fitness(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Workouts, bad durations and calories included; `split_rejects` separates them."""
+    d = PERSONAL_DEFAULTS
+    return _personal(df, "FIT", {
+        "workout_name": ("string", None), "workout_category": ("string", F.lit(d["workout_category"])), "duration_minutes": ("int", None),
+        "calories_burned": ("int", F.lit(d["calories_burned"])), "workout_date": ("date", F.to_date(_now(as_of))), "intensity": ("string", F.lit(d["intensity"])),
+    }, as_of)
+
+
+def stage_media(df: DataFrame, as_of: Column | None = None) -> DataFrame:
+    """Consumed media, ratings out of range included; `split_rejects` separates them."""
+    text = {c: ("string", None) for c in ("title", "media_type", "genre", "creator")}
+    more = {"consumed_date": ("date", F.to_date(_now(as_of))), "rating": ("double", None), "notes": ("string", None)}
+    return _personal(df, "MED", text | more, as_of)
+
+
 def order_reject_rules() -> dict[str, Column]:
     """Reason -> condition that makes an order line unusable."""
     return {

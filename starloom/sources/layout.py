@@ -79,9 +79,16 @@ WAREHOUSE = {
     ),
     "fact_news_articles": Layout(dated="date_key", identity=(_ARTICLE,), ranges=("date_key",), surrogate="news_fact_key"),
     "raw_stock_prices": Layout(hashed=("ticker",)),
+    "raw_news_articles": Layout(hashed=("url",)),
     "dim_customer": Layout(hashed=("customer_id",), surrogate="customer_key"),
     "dim_product": Layout(hashed=("product_id",), surrogate="product_key"),
     "dim_company": Layout(identity=("ticker",), surrogate="company_key"),
     "dim_location": Layout(identity=("city", "country_code"), surrogate="location_key"),
+    "dim_category": Layout(identity=("category_name",), surrogate="category_key"),
+    "dim_workout_type": Layout(identity=("workout_name",), surrogate="workout_type_key"),
+    "dim_media_item": Layout(identity=("title", "media_type"), surrogate="media_key"),
+    "fact_transactions": Layout(identity=("raw_id",), surrogate="transaction_key"),
+    "fact_workouts": Layout(identity=("raw_id",), surrogate="workout_key"),
+    "fact_media_log": Layout(identity=("raw_id",), surrogate="log_key"),
     "dim_news_source": Layout(identity=("source_name",), surrogate="source_key"),
 }

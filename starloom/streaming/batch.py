@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import (
@@ -16,14 +17,14 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.dates import date_key
 from ..operators.clean import (
-    CUSTOMER_ATTRIBUTES, clean_customers, clean_orders, clean_products, normalise_headers, order_reject_rules, route, split_rejects,
-    stage_customers, stage_news, stage_orders, stage_products, stage_stocks, stage_weather,
+    CUSTOMER_ATTRIBUTES, clean_customers, clean_orders, clean_products, fitness_reject_rules, media_reject_rules, normalise_headers, order_reject_rules,
+    route, split_rejects, stage_customers, stage_finance, stage_fitness, stage_media, stage_news, stage_orders, stage_products, stage_stocks, stage_weather,
 )
 from ..operators.joins import not_loaded, only_known
 from ..operators.keys import dedupe_latest
 from ..operators.measures import high_value_alerts
 from ..operators.quality import failure_alerts, reject_log, run_assertions, staging_checks
-from ..plans import domains
+from ..plans import domains, personal
 from ..plans.audit import run_finished, run_started
 from ..plans.calendar import REALTIME_RANGE, date_dim
 from ..plans.insights import insight_row
@@ -42,8 +43,35 @@ _DATA_ERRORS = (
 SOURCE_FILE, SOURCE_TIME = "_source_file", "_source_time"
 _INFERRED_SINCE = "1900-01-01 00:00:00"
 _PRODUCT_MARKS = ("product_name", "category", "subcategory", "cost_price")
+@dataclass(frozen=True)
+class _Personal:
+    """How the records of a personal domain are staged, judged and loaded."""
+
+    staging: str
+    dim: str
+    fact: str
+    ddl: str
+    stage: Callable
+    rules: Callable | None
+    members: Callable
+    facts: Callable
+
+
+_PERSONAL = {
+    "finance": _Personal(
+        "stg_finance_transactions", "dim_category", "fact_transactions", schemas.DIM_CATEGORY, stage_finance, None, personal.new_categories, personal.transactions
+    ),
+    "fitness": _Personal(
+        "stg_fitness_workouts", "dim_workout_type", "fact_workouts", schemas.DIM_WORKOUT_TYPE, stage_fitness, fitness_reject_rules,
+        personal.new_workout_types, personal.workouts,
+    ),
+    "media": _Personal(
+        "stg_media_consumption", "dim_media_item", "fact_media_log", schemas.DIM_MEDIA_ITEM, stage_media, media_reject_rules, personal.new_media_items, personal.media_log
+    ),
+}
 _SALES_PARTS = ("customers", "products", "orders")
-_KEYS = {"orders": ("order_id",), "customers": ("customer_id", "raw_customer_id"), "products": ("product_id", "raw_product_id")}
+_KEYS = {"orders": ("order_id",), "customers": ("customer_id", "raw_customer_id"), "products": ("product_id", "raw_product_id"),
+         "finance": ("category_name",), "fitness": ("workout_name",), "media": ("media_type",)}
 
 
 def drop_absent(batch: DataFrame) -> DataFrame:
@@ -57,6 +85,8 @@ def drop_absent(batch: DataFrame) -> DataFrame:
 
 def _of_part(frame: DataFrame, part: str) -> DataFrame:
     """Rows that name the part's key; an order row may miss its id if it has a quantity."""
+    if part == "news" and {"title", "media_type"} <= set(frame.columns):
+        return frame.filter(F.col("media_type").isNull())  # a media record has a title too
     marks = [c for c in _KEYS.get(part, ()) if c in frame.columns]
     if part == "orders":
         marks.append("quantity")
@@ -77,6 +107,9 @@ def load_batch(batch: DataFrame, txn: Transaction, run_id: str, as_of: Column |
         _load_stocks(stage_stocks(parts["stocks"], as_of), txn, run_id, counters, as_of)
     if "weather" in parts:
         _load_weather(stage_weather(parts["weather"], as_of), txn, run_id, counters, as_of)
+    for name in _PERSONAL:
+        if name in parts:
+            _load_personal(name, parts[name], txn, run_id, counters, as_of)
     if "news" in parts:
         _load_news(stage_news(parts["news"], as_of), txn, run_id, counters, as_of)
     return counters
@@ -217,6 +250,19 @@ def _load_news(staged: DataFrame, txn: Transaction, run_id: str, counters: dict[
     _append(txn, "fact_news_articles", facts, counters, "records_transformed")
 
 
+def _load_personal(name: str, part: DataFrame, txn: Transaction, run_id: str, counters: dict[str, int], as_of) -> None:
+    """Finance, fitness or media records: staged, rejects logged, new members and facts appended."""
+    p = _PERSONAL[name]
+    valid, rejects = split_rejects(p.stage(part, as_of), p.rules()) if p.rules is not None else (p.stage(part, as_of), None)
+    if rejects is not None:
+        judged = materialize(rejects, "rejects")
+        _append(txn, "data_quality_log", reject_log(judged, p.staging, run_id, ["raw_id"], as_of), counters, "records_rejected")
+    staged = _append(txn, p.staging, valid, counters, "records_loaded")
+    txn.append(p.dim, p.members(_matching(txn, p.dim, staged, p.ddl), staged, txn.high(p.dim)))
+    facts = p.facts(staged, _matching(txn, p.dim, staged, p.ddl), txn.read_matching(p.fact, staged), txn.high(p.fact))
+    _append(txn, p.fact, facts, counters, "records_transformed")
+
+
 def _insights(txn: Transaction, run_id: str, as_of) -> None:
     fact, customers = txn.read("fact_sales"), txn.read("dim_customer")
     if fact is None or customers is None:
@@ -275,6 +321,7 @@ def process_batch(
     insights: bool = False,
     replica: TableStore | None = None,
     replicated: Sequence[str] | None = None,
+    calendar: tuple[str, str] = REALTIME_RANGE,
 ) -> str:
     """Apply one micro-batch: returns "skipped", "completed" or "failed".
 
@@ -282,11 +329,14 @@ def process_batch(
     that is replayed after a crash is either skipped whole or done whole. The files of a batch are
     applied one after another, oldest first, so tables don't depend on how many share a batch. A file
     whose data cannot be processed is kept as JSON in `quarantine` with a failed audit row; the other files
-    and the stream go on, and the batch counts as failed. A batch that doesn't name its files is one.
+    and the stream go on, and the batch counts as failed. A batch that doesn't name its files is one. The first
+    batch of a store also writes its calendar, `dim_date`.
     """
     if store.manifest()["batches"].get(stream, -1) >= batch_id:
         return "skipped"
     run_id, txn = f"{stream}-{batch_id}", store.begin()
+    if txn.read("dim_date") is None:
+        txn.append("dim_date", date_dim(store.spark, *calendar))
     files = by_file(batch)
     done = [
         _load_file(rows, file, txn, run_id if len(files) == 1 else f"{run_id}-{k}", f"realtime_{stream}", batch_id, as_of, insights)

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.clean import (
-    CUSTOMER_COLUMNS, NEWS_ALIASES, NEWS_KEYS, NEWS_MARKS, ORDER_COLUMNS, PRODUCT_COLUMNS, STOCK_ALIASES, STOCK_KEYS,
+    CUSTOMER_COLUMNS, FINANCE_COLUMNS, FITNESS_COLUMNS, MEDIA_COLUMNS, NEWS_ALIASES, NEWS_KEYS, NEWS_MARKS, ORDER_COLUMNS, PRODUCT_COLUMNS, STOCK_ALIASES, STOCK_KEYS,
     STOCK_MARKS, WEATHER_ALIASES, WEATHER_MARKS,
 )
 from ..sources.store import TableStore
@@ -18,7 +18,7 @@ from .batch import SOURCE_FILE, SOURCE_TIME, process_batch
 def wide_schema() -> T.StructType:
     """Every column any domain understands, as text; nothing is inferred from files."""
     names: dict[str, None] = {}
-    for group in (CUSTOMER_COLUMNS, PRODUCT_COLUMNS, ORDER_COLUMNS, STOCK_KEYS, STOCK_MARKS, NEWS_KEYS, NEWS_MARKS, WEATHER_MARKS):
+    for group in (CUSTOMER_COLUMNS, PRODUCT_COLUMNS, ORDER_COLUMNS, STOCK_KEYS, STOCK_MARKS, NEWS_KEYS, NEWS_MARKS, WEATHER_MARKS, FINANCE_COLUMNS, FITNESS_COLUMNS, MEDIA_COLUMNS):
         names.update(dict.fromkeys(group))
     for aliases in (WEATHER_ALIASES, STOCK_ALIASES, NEWS_ALIASES):
         for spellings in aliases.values():
