@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import discard
 
 
 def _fingerprint(edges: DataFrame) -> tuple:
@@ -29,7 +30,8 @@ def connected_components(links: DataFrame) -> DataFrame:
         large = both.where("b > a").join(least, "a").select(F.col("m").alias("a"), F.col("b")).where("a < b").distinct()
         smaller = large.groupBy("b").agg(F.min("a").alias("m"))
         small = large.join(smaller, "b").select(F.col("m").alias("m"), F.explode(F.array("a", "b")).alias("b")).where("m < b").select(F.col("m").alias("a"), "b").distinct()
-        edges = materialize(small, "links")
+        edges, before = materialize(small, "links"), edges
+        discard(before)
         now = _fingerprint(edges)
         if now == seen:
             break
