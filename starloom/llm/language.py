@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import crc_mod, mixed, reachable, table
+from .common import crc_mod, lean, mixed, reachable, table
 
 SLOTS = 1 << 16
 #: Rows of each language that weights are fitted on at most: those with the smallest hashes of their ids.
@@ -136,7 +136,7 @@ def train(documents: DataFrame) -> Model | None:
     spark = documents.sparkSession
     reachable(spark)
     rows = documents.select("doc_id", "text", "lang").where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & (crc_mod("doc_id", 5) != 0))
-    df = rows.select("text").mapInPandas(_frequencies, "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toPandas()
+    df = rows.select("text").mapInPandas(lean(_frequencies), "slot long, df long").groupBy("slot").agg(F.sum("df").alias("df")).toPandas()
     seen = np.zeros(SLOTS + 1)
     seen[df["slot"].to_numpy()] = df["df"].to_numpy()
     if not seen[SLOTS]:
@@ -160,7 +160,7 @@ def train(documents: DataFrame) -> Model | None:
         for batch in batches:
             yield pd.DataFrame({"lang": batch["lang"], "logits": pd.Series([_logits(t, shared.value).tolist() for t in batch["text"]], dtype=object, index=batch.index)})
 
-    held = sample.where(apart).mapInPandas(calibration, "lang string, logits array<double>").toPandas()
+    held = sample.where(apart).mapInPandas(lean(calibration), "lang string, logits array<double>").toPandas()
     if len(held) and len(languages) > 1:
         model.temperature = _temperature(np.stack(held["logits"].to_numpy()), held["lang"].map({v: i for i, v in enumerate(languages)}).to_numpy())
     return model
@@ -172,6 +172,7 @@ def prediction_column(spark: SparkSession, model: Model | None):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("lang_pred string, score double")
+    @lean
     def predict(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         model = shared.value
         for part in parts:

@@ -92,7 +92,7 @@ class Packer:
         return [r for v in self.waiting.values() for r in v]
 
 
-def _packed(encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: int):
+def _packed(encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: int, kept_chunks: int):
     end = np.array([end_id], dtype="<u4").tobytes()
     names = [c.split()[0] for c in PIECES.split(", ")]
 
@@ -120,6 +120,9 @@ def _packed(encode: Callable[[list[str]], list[bytes]], capacity: int, end_id: i
         out = []
         while (window := packer.fill(CLOSE)) is not None:
             out += [(*r, s, o) for r, s, o in window]
+        if kept_chunks < MOST_CHUNKS:
+            encoder.cache_clear()
+            give_back()
         out += [(*r, None, part) for r in packer.rest()]  # the partition's number stands in for the offset
         yield pd.DataFrame(out, columns=names).astype({"doc_id": "Int64", "sequence_id": "Int64"})
 
@@ -152,7 +155,7 @@ def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAP
     def encode(texts: list[str]) -> list[bytes]:
         return encoder(path, kept_chunks, markers).encode(texts)
 
-    pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id), PIECES), "packing")
+    pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id, kept_chunks), PIECES), "packing")
     placed = pieces.where(F.col("sequence_id").isNotNull())
     rests = pieces.where(F.col("sequence_id").isNull())
     return placed.unionByName(rests.groupBy(F.floor(F.col("offset") / TOGETHER)).applyInPandas(_together(capacity), PIECES))

@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import CACHES, reachable, steps, table, utf8
+from .common import CACHES, lean, reachable, steps, table, utf8
 
 
 @dataclass(frozen=True)
@@ -260,6 +260,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str, rules: tuple[Rule,
     reachable(spark)
 
     @F.pandas_udf("string")
+    @lean
     def masked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in parts:
             clean = [redacted(t, x) for held in steps(part) for t, x in zip(held, shard_spans(held, rules), strict=True)]

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import crc_mod, frame_steps, mixed, reachable, steps, table, word_hashes
+from .common import crc_mod, frame_steps, lean, mixed, reachable, steps, table, word_hashes
 
 SLOTS = 1 << 18
 #: Labelled rows that are learned from at most: those with the smallest hashes of their ids.
@@ -83,6 +83,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, target: str, rows:
     return documents.select("doc_id", "text").join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
 
 
+@lean
 def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for rows, texts in frame_steps(batches):
         yield pd.DataFrame({"doc_id": rows["doc_id"], "label": rows["label"], "slots": [s.tobytes() for s in feature_slots(texts)]})
@@ -111,6 +112,7 @@ def score_column(spark: SparkSession, model: Model):
     shared = spark.sparkContext.broadcast(model)
 
     @F.pandas_udf("double")
+    @lean
     def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         weights = np.zeros(SLOTS)
         weights[shared.value.slots] = shared.value.weights
