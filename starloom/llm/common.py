@@ -49,21 +49,6 @@ def lean(run: Callable) -> Callable:
     return wrapped
 
 
-def discard(*frames: DataFrame) -> None:
-    """Delete the files of written frames that nothing reads any more."""
-    for frame in frames:
-        files = frame.inputFiles()
-        if files:
-            folder = frame.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-            folder.getFileSystem(frame.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def reclaim(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that have ended: it does so when the driver's collector meets them."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
