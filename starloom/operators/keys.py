@@ -67,16 +67,25 @@ def _offsets(counts: DataFrame, slots: int | None) -> Column:
 
 
 def dense_key(
-    df: DataFrame, key_col: str, natural: Sequence[str], start=0, buckets: int | None = None
+    df: DataFrame, key_col: str, natural: Sequence[str], start=0, buckets: int | None = None, written: bool = False
 ) -> DataFrame:
     """Gap-free keys ``start+1 .. start+n`` without funnelling rows through one task.
 
     Rows are spread over hash buckets of their natural key, numbered inside the
     bucket, and shifted by the row count of the buckets before it. The result is a
     function of the data alone, so a recomputed partition gets the same keys.
+
+    The input is evaluated twice, for the counts and for the rows; with `written` it is evaluated once and
+    written with its places, and the counts are those of the written buckets.
     """
     n = buckets or _bucket_count(df)
     bucketed = df.withColumn("_slot", F.pmod(F.xxhash64(*natural), F.lit(n).cast("bigint")))
+    if written:
+        place = F.row_number().over(W.partitionBy("_slot").orderBy(*natural))
+        placed = materialize(bucketed.withColumn("_place", place), "keyed")
+        counts = placed.groupBy(F.col("_slot").alias("slot")).agg(F.max("_place").cast("bigint").alias("n"))
+        key = _start(start) + F.element_at(_offsets(counts, n), (F.col("_slot") + 1).cast("int")) + F.col("_place")
+        return placed.withColumn(key_col, key.cast("bigint")).drop("_slot", "_place")
     counts = bucketed.groupBy(F.col("_slot").alias("slot")).agg(F.count(F.lit(1)).alias("n"))
     offsets = _offsets(counts, n)
     number = F.row_number().over(W.partitionBy("_slot").orderBy(*natural))

@@ -105,7 +105,7 @@ def sales_facts(
     )
     start = first_key if first_key is not None else max_key(loaded, "sales_fact_key") if loaded is not None else 0
     if dense:
-        keyed = dense_key(measured, "sales_fact_key", ["order_id", "order_line_number"], start)
+        keyed = dense_key(measured, "sales_fact_key", ["order_id", "order_line_number"], start, written=True)  # the joins run once
     else:
         keyed = sequence_key(measured, "sales_fact_key", start)
     return keyed.select(*FACT_COLUMNS, *take)

@@ -49,3 +49,19 @@ def test_bucketed_neighbours_equal_plain_ones(spark, rows):
         plain = neighbour(df, ["k"], ["t", "i"], ["v", "t"], "n", ahead)
         split = neighbour(df, ["k"], ["t", "i"], ["v", "t"], "n", ahead, bucket=F.floor(F.col("t") / 17))
         assert rows(plain, "i", "n") == rows(split, "i", "n")
+
+
+def test_written_keys_equal_the_others_and_evaluate_their_input_once(spark, rows):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for batch in batches:
+            seen.add(len(batch))
+            yield batch
+
+    df = spark.range(500).selectExpr("cast(id % 250 AS string) AS k", "id AS v", "CASE WHEN id % 7 = 0 THEN NULL ELSE id END AS w")
+    counted = df.mapInPandas(noted, df.schema)
+    got = dense_key(counted, "key", ["k", "v"], 10, written=True)
+    assert rows(got) == rows(dense_key(df, "key", ["k", "v"], 10))
+    assert seen.value == 500 and sorted(r.key for r in got.collect()) == list(range(11, 511))
+    assert dense_key(df.limit(0), "key", ["k"], 3, written=True).count() == 0
