@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from ..session import fits_broadcast, materialize
 
@@ -132,23 +133,96 @@ def one_in_force(dim: DataFrame, spec: Versioned = CUSTOMER_VERSIONS) -> DataFra
     """Versions with `_from` and `_to` (NULL: open), cut so that at most one of an id is in force at any time.
 
     Of several the one that started last wins, then the one with the largest surrogate key, as ranking by start would say; after a
-    short version inside a long one the long one goes on. Empty versions never are in force and go. Only ids whose versions
-    overlap are cut; their versions meet the cuts of the same id alone.
+    short version inside a long one the long one goes on. Empty versions never are in force and go.
+
+    One window over (id, start) parts an id's versions into islands that don't overlap each other. An island of one version is kept
+    as it is; the others are swept in order of start (`_sweep`), each by itself, so an id is spread over its islands. Where nothing
+    overlaps the exchange before the sweep is empty and the adaptive plan starts no Python worker.
     """
     start, end = F.col(spec.start), F.col(spec.end)
     far = F.coalesce(end, F.lit(_FOREVER).cast(dim.schema[spec.end].dataType))
     live = dim.filter(start.isNotNull() & (end.isNull() | (end > start)))
-    earlier = W.partitionBy(spec.key).orderBy(spec.start, spec.surrogate).rowsBetween(W.unboundedPreceding, -1)
-    mixed = live.withColumn("_reach", F.max(far).over(earlier)).filter(F.col("_reach") > start).select(spec.key).distinct()
-    alone = live.join(mixed, spec.key, "left_anti").withColumns({"_from": start, "_to": end})
-    several = live.join(mixed, spec.key, "left_semi").withColumn("_far", far)
-    cuts = several.select(F.col(spec.key).alias("_id"), F.explode(F.array(start, F.col("_far"))).alias("_from")).distinct()
-    cells = cuts.withColumn("_until", F.lead("_from").over(W.partitionBy("_id").orderBy("_from"))).filter("_until is not null")
-    inside = (F.col("_id") == F.col(spec.key)) & (start <= F.col("_from")) & (F.col("_far") > F.col("_from"))
-    best = F.max_by(F.struct(*dim.columns), F.struct(spec.start, spec.surrogate))
-    won = cells.join(several, inside).groupBy("_id", "_from", "_until").agg(best.alias("_best"))
-    until = F.when(F.col("_until") < F.lit(_FOREVER).cast(dim.schema[spec.end].dataType), F.col("_until"))
-    return alone.unionByName(won.select("_best.*", "_from", until.alias("_to")))
+    ordered = W.partitionBy(spec.key).orderBy(spec.start, spec.surrogate)
+    reach = F.max(far).over(ordered.rowsBetween(W.unboundedPreceding, -1))
+    headed = live.withColumn("_head", F.coalesce(start >= reach, F.lit(True)))
+    alone = F.col("_head") & F.coalesce(F.lead("_head").over(ordered), F.lit(True))
+    island = F.last(F.when(F.col("_head"), start), ignorenulls=True).over(ordered.rowsBetween(W.unboundedPreceding, 0))
+    parted = headed.withColumns({"_alone": alone, "_island": island})
+    single = parted.filter("_alone").select(*dim.columns, start.alias("_from"), end.alias("_to"))
+    several = parted.filter("not _alone").select(*dim.columns, "_island")
+    rank = several.repartition(spec.key, "_island").sortWithinPartitions(spec.key, "_island", spec.start, spec.surrogate)
+    edges = [StructField("_from", dim.schema[spec.start].dataType), StructField("_to", dim.schema[spec.end].dataType)]
+    swept = rank.mapInArrow(_sweep(spec), StructType([*several.schema.fields, *edges]))
+    return single.unionByName(swept.drop("_island"))
+
+
+def _sweep(spec: Versioned):
+    """One pass over sorted versions: the pieces of time in which each is the newest open one.
+
+    A stack holds the open versions, the newest on top. A version that a newer one outlives never is in force again and leaves at once,
+    so ends fall towards the top and every version is pushed and popped once. Memory holds one batch and the stack of one island.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        def ticks(column):
+            whole = column.cast(pa.int32()) if pa.types.is_date32(column.type) else column
+            return whole.cast(pa.int64()).to_pylist()
+
+        left, stack, at, group = None, [], None, None
+        pieces: list[tuple[int, int, int | None]] = []
+
+        def advance(until):
+            """Emit what is in force from `at` to `until` (None: for ever)."""
+            nonlocal at
+            while stack and (until is None or at < until):
+                row, stop = stack[-1]
+                if stop is not None and (until is None or stop <= until):
+                    stack.pop()
+                    if stop > at:
+                        pieces.append((row, at, stop))
+                        at = stop
+                else:
+                    pieces.append((row, at, until))
+                    at = until
+                    if until is None:
+                        stack.clear()
+
+        def flush(pool):
+            first, last = pool.schema.field(spec.start).type, pool.schema.field(spec.end).type
+            rows = pool.take(pa.array([p[0] for p in pieces], pa.int64()))
+            edges = [_back(pa.array([p[k] for p in pieces], pa.int64()), t) for k, t in ((1, first), (2, last))]
+            return pa.RecordBatch.from_arrays([*rows.columns, *edges], names=[*rows.schema.names, "_from", "_to"])
+
+        def _back(values, kind):
+            return (values.cast(pa.int32()) if pa.types.is_date32(kind) else values).cast(kind)
+
+        for batch in (b for b in batches if b.num_rows):
+            pool = batch if left is None else pa.Table.from_batches([left, batch]).combine_chunks().to_batches()[0]
+            kept = 0 if left is None else left.num_rows
+            starts, ends = ticks(batch.column(spec.start)), ticks(batch.column(spec.end))
+            groups = zip(batch.column(spec.key).to_pylist(), ticks(batch.column("_island")))
+            for row, (key, begin, stop) in enumerate(zip(groups, starts, ends), kept):
+                if key != group:
+                    advance(None)
+                    group = key
+                else:
+                    advance(begin)
+                at = begin
+                while stack and stop is None or stack and stack[-1][1] is not None and stack[-1][1] <= stop:
+                    stack.pop()
+                stack.append((row, stop))
+            if pieces:
+                yield flush(pool)
+                pieces.clear()
+            left = pool.take(pa.array([row for row, _ in stack], pa.int64())) if stack else None
+            stack = [(k, stop) for k, (_, stop) in enumerate(stack)]
+        if stack:
+            advance(None)
+            yield flush(left)
+
+    return run
 
 
 def _few_versions(dim: DataFrame, spec: Versioned) -> bool:

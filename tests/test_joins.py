@@ -97,3 +97,49 @@ def test_orphans_and_semi(spark, rows):
     known = spark.createDataFrame([(1,)], "k int")
     assert rows(J.orphans(fact, known, "k")) == [(2,), (None,)]
     assert rows(J.only_known(fact, known, ["k"])) == [(1,)]
+
+
+def in_force_by_force(versions, day):
+    """Key of the version in force: the one of those open that started last, then the largest key."""
+    open_now = [(s, k) for k, _, s, e, _ in versions if s <= day and (e is None or day < e)]
+    return max(open_now)[1] if open_now else None
+
+
+@pytest.mark.parametrize("per_batch", [3, 10_000])
+def test_overlapping_versions_are_swept_into_single_ones(spark, per_batch):
+    rng = random.Random(per_batch)
+    versions, key = [(900, "n", 5, 5, False), (901, "n", 5, 4, False)], 0
+    for ident in "abcdefgh":
+        for _ in range(rng.choice([1, 2, 25, 60])):
+            key += 1
+            s = rng.randint(0, 60)
+            versions.append((key, ident, s, rng.choice([None, s, s + 1, s + rng.randint(1, 70), s + rng.randint(1, 5)]), False))
+    # nested in each other, then a gap, then two that start together
+    versions += [(500 + i, "nest", i, 60 - i, False) for i in range(20)] + [(600, "nest", 80, 90, False), (601, "nest", 80, 85, False)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        cut = J.one_in_force(dim(spark, versions)).select("customer_id", "customer_key", "_from", "_to").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for ident in {v[1] for v in versions}:
+        mine = [v for v in versions if v[1] == ident]
+        pieces = [r for r in cut if r["customer_id"] == ident]
+        assert all(r["_to"] is None or r["_from"] < r["_to"] for r in pieces)
+        for half in range(-2, 300):
+            day = half / 2
+            now = D0 + timedelta(days=day)
+            found = [r["customer_key"] for r in pieces if r["_from"] <= now and (r["_to"] is None or now < r["_to"])]
+            assert found == ([k] if (k := in_force_by_force(mine, day)) else [])
+
+
+def test_a_hundred_thousand_overlapping_versions_of_one_id(spark):
+    n = 100_000
+    start = "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, id)"
+    versions = spark.range(n).selectExpr(
+        "id as customer_key", "'hot' as customer_id", f"{start} as effective_start_date",
+        f"timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, 0, {2 * n} - id) as effective_end_date", "false as is_current",
+    )
+    cut = J.one_in_force(versions)
+    # nested: every version is in force for its first second, and again when the one inside it has ended
+    assert cut.count() == 2 * n - 1
+    assert cut.groupBy("customer_key").count().agg({"count": "max"}).first()[0] == 2
