@@ -12,7 +12,7 @@ QUICK = [
     "mom_revenue", "cohort_retention", "clean_customers", "clean_orders", "routed_batch", "text_functions", "date_functions", "customer_dim_one_pass",
     "scd2_event_log", "fact_sales_pit", "not_in", "daily_bars", "price_forecast", "observation_facts", "article_measures", "lexicon_sentiment", "staging_gates",
     "csv_dialect_load", "json_articles", "revenue_forecast", "fact_replay", "dimension_buckets", "replicate_changes", "store_compaction",
-    "distinct_from_bitmaps", "mart_by_deltas", "rfm_scores_high_is_best",
+    "distinct_from_bitmaps", "stream_state_versions", "stream_state_lines", "mart_by_deltas", "rfm_scores_high_is_best",
     "domain_batch_run", "personal_batches", "stream_calendar", "article_sentiment",
 ]
 NAMES = sorted(entry.QUERIES) if os.environ.get("TEST_ALL_QUERIES") else QUICK
