@@ -169,7 +169,10 @@ class Graph:
 
 
 def _unit(data: np.ndarray) -> np.ndarray:
-    return data / np.linalg.norm(data, axis=1, keepdims=True)
+    """Rows of length one. Each is first brought near 1 by a power of two, which is exact, so that no square overflows or vanishes."""
+    exponent = np.frexp(np.abs(data).max(axis=1, keepdims=True))[1]
+    near = np.ldexp(data, -exponent)
+    return near / np.linalg.norm(near, axis=1, keepdims=True)
 
 
 def _hook(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:

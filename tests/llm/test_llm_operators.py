@@ -175,6 +175,33 @@ def test_hnsw_equals_brute_force(spark):
     assert len(found) == 604
 
 
+def test_hnsw_over_vectors_of_extreme_size(spark):
+    """Squares that overflow or vanish neither lose a link nor make one."""
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [1.0, 0.5]), (5, [5e-324, 0.0]), (6, [1.7e308, 1e300]), (7, [1.0, 1.0])]
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in hnsw.components(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert found == {1: (3, 1), 2: (3, 1), 3: (3, 1), 7: (3, 1), 4: (0, 4), 5: (1, 5), 6: (1, 5)}
+
+
+def test_hnsw_over_several_shards(spark, monkeypatch):
+    """Partners just above the threshold are found inside shards and between them; self-hits are not counted."""
+    monkeypatch.setattr(hnsw, "SHARD_ROWS", 100)
+    rng = np.random.default_rng(4)
+    base = rng.normal(size=(350, 24))
+    base /= np.linalg.norm(base, axis=1, keepdims=True)
+    side = rng.normal(size=base.shape)
+    side -= (side * base).sum(axis=1, keepdims=True) * base
+    side /= np.linalg.norm(side, axis=1, keepdims=True)
+    cosine = rng.uniform(0.951, 0.97, size=(350, 1))
+    data = np.concatenate([base, cosine * base + np.sqrt(1 - cosine**2) * side])
+    found = {r["vec_id"]: r for r in hnsw.components(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(data)], "vec_id long, embedding array<double>")).collect()}
+    unit = data / np.linalg.norm(data, axis=1, keepdims=True)
+    true = unit @ unit.T >= 0.95
+    np.fill_diagonal(true, False)
+    links = sum(r["n_links"] for r in found.values())
+    assert 0.98 * true.sum() <= links <= true.sum()
+    assert all(found[i]["n_links"] <= true[i].sum() for i in range(700))
+
+
 def test_fingerprints(spark):
     docs = frame(spark)
     rows = fingerprints.fingerprints(docs).collect()
