@@ -131,7 +131,7 @@ def _tokenize(path: str, end_id: int, markers: bool):
         for rows, texts in frame_steps(batches):
             ids = [x + end for x in encoder(path, markers=markers).encode(texts)]
             n = np.array([len(x) // 4 for x in ids], np.int64)
-            small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if max(np.frombuffer(x, "<u4")) < 1 << 16 else x for x in ids]
+            small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if np.frombuffer(x, "<u4").max() < 1 << 16 else x for x in ids]
             yield pd.DataFrame({"shard": part, "seq": np.arange(seq, seq + len(n)), "before": before + np.cumsum(n) - n, "doc_id": rows["doc_id"].astype("Int64"), "n": n, "ids": small})
             seq, before = seq + len(n), before + int(n.sum())
 

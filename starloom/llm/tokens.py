@@ -2,7 +2,8 @@
 
 A text is cut before every single space that stands between two characters that are not white space. No token of the two vocabularies
 reaches over such a place (their splitting patterns start a new piece at it, and neither lower-casing nor composition crosses a space),
-so the ids of a text are those of its chunks in a row. Each worker keeps the ids of the chunks it has met, at most MOST_CHUNKS or as given.
+so the ids of a text are those of its chunks in a row. Each worker keeps the ids of the chunks it has met, at most MOST_CHUNKS or as given; chunk borders, look-ups and the ids of whole texts are found with
+numpy over a step of texts, and only chunks not met before become strings.
 A special token's string in a text (`<|endoftext|>`) is its special id with markers=True, as in the library's plain encode; else ordinary text.
 """
 
@@ -11,18 +12,95 @@ from __future__ import annotations
 import os
 import re
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 
-#: Chunks whose ids a worker keeps; beyond that it starts anew. About 200 bytes each.
-MOST_CHUNKS = 1_000_000
-#: A chunk longer than this is encoded each time and not kept.
-LONG_CHUNK = 64
-
+#: Chunks whose ids a worker keeps; beyond that it starts anew. About 70 bytes each.
+MOST_CHUNKS = 1_500_000
+#: Bytes of a chunk that is found by its own bytes, in numbers of eight; longer ones are found in a dict.
+WORDS = 3
+SHORT = 8 * WORDS
+#: A chunk of more bytes is encoded each time and not kept.
+LONG_CHUNK = 128
 
 #: A space beside white space, or at the end.
 _BESIDE = re.compile(r"\x20(?:\s|\Z|(?<=\s\x20))")
+# Odd constants that spread a chunk's numbers over the slots; any would do.
+_SPREAD = np.array([0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
+
+
+class Kept:
+    """Ids of the chunks met, by number; short chunks are looked up many at a time by their bytes.
+
+    An open-addressed table of chunk numbers; a slot is a hit only if all bytes of the chunk are the same.
+    """
+
+    def __init__(self) -> None:
+        self.slots = np.full(1 << 16, -1, np.int32)
+        self.keys = np.zeros((1 << 14, WORDS), np.uint64)
+        self.at, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int32)
+        self.ids = np.zeros(1 << 16, np.uint32)
+        self.number = self.used = 0
+        self.long: dict[bytes, int] = {}
+
+    def __len__(self) -> int:
+        return self.number
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        h = (keys * _SPREAD).sum(axis=1, dtype=np.uint64)
+        h ^= h >> np.uint64(29)
+        h *= _SPREAD[1]
+        return (h >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each chunk, -1 for unknown ones."""
+        out = np.full(len(keys), -1, np.int64)
+        left, slot = np.arange(len(keys)), self._slot(keys)
+        while len(left):
+            chunk = self.slots[slot]
+            hit = (chunk >= 0) & (self.keys[chunk] == keys[left]).all(axis=1)
+            out[left[hit]] = chunk[hit]
+            on = (chunk >= 0) & ~hit
+            left, slot = left[on], slot[on] + 1 & len(self.slots) - 1
+        return out
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """Keep the ids of new chunks, one after another; the number of the first."""
+        first, n = self.number, len(sizes)
+        while first + n > len(self.at):
+            self.keys = np.concatenate((self.keys, np.zeros_like(self.keys)))
+            self.at, self.size = np.concatenate((self.at, np.zeros_like(self.at))), np.concatenate((self.size, np.zeros_like(self.size)))
+        if self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(max(len(ids), len(self.ids) // 2), np.uint32)))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.at[first : first + n] = self.used + np.cumsum(sizes) - sizes
+        self.size[first : first + n] = sizes
+        self.used += len(ids)
+        self.number += n
+        return first
+
+    def enter(self, keys: np.ndarray, first: int) -> None:
+        """Make different, unknown short chunks findable under the numbers from `first`."""
+        self.keys[first : first + len(keys)] = keys
+        if 2 * self.number > len(self.slots):
+            while 2 * self.number > len(self.slots):
+                self.slots = np.full(2 * len(self.slots), -1, np.int32)
+            known = np.flatnonzero(self.keys[: self.number].any(axis=1))
+        else:
+            known = np.arange(first, first + len(keys))
+        slot = self._slot(self.keys[known])
+        while len(known):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = known[free]
+            on = self.slots[slot] != known
+            known, slot = known[on], slot[on] + 1 & len(self.slots) - 1
+
+    def gather(self, chunks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the chunks in a row, and how many each has."""
+        sizes = self.size[chunks].astype(np.int64)
+        ends = np.cumsum(sizes)
+        shift = np.repeat(self.at[chunks] - (ends - sizes), sizes)
+        return self.ids[shift + np.arange(len(shift))], ends
 
 
 class Encoder:
@@ -33,44 +111,87 @@ class Encoder:
         self.tokenizer, self.most, self.markers = Tokenizer.from_file(path), most, markers
         added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark, self.mark_id = added[1].content, added[0]
-        self.known: dict[str, bytes] = {}
+        self.known = Kept()
 
-    def _learn(self, chunks: list[str]) -> None:
-        """Encode new chunks in one call, parted by the special token, whose id no ordinary text gives."""
+    def _learn(self, chunks: list[str]) -> int:
+        """Encode new chunks in one call, parted by the special token, whose id no ordinary text gives; the number of the first."""
         whole = [c for c in chunks if "<|" not in c]
+        found = np.zeros(0, np.uint32)
         if whole:
             self.tokenizer.encode_special_tokens = False
-            ids = np.array(self.tokenizer.encode_batch_fast([self.mark.join(whole)], add_special_tokens=False)[0].ids, dtype="<u4")
-            cut = np.flatnonzero(ids == self.mark_id)
-            data = ids.tobytes()
-            self.known.update((c, data[a:b]) for c, a, b in zip(whole, [0, *(4 * cut + 4).tolist()], [*(4 * cut).tolist(), len(data)], strict=True))
-        for c in chunks:
-            if "<|" in c:
-                self.known[c] = self._alone(c)
-
-    def _alone(self, text: str) -> bytes:
+            found = np.array(self.tokenizer.encode_batch_fast([self.mark.join(whole)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        cut = np.flatnonzero(found == self.mark_id)
+        ends = np.append(cut, len(found))[: len(whole)]
+        sizes = np.diff(ends, prepend=-1) - 1
+        ids = np.delete(found, cut)
+        if len(whole) < len(chunks):
+            parts, at = [], iter(np.split(ids, np.cumsum(sizes)[:-1]) if whole else [])
+            parts = [self._alone(c) if "<|" in c else next(at) for c in chunks]
+            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        return self.known.add(ids, sizes)
+
+    def _alone(self, text: str) -> np.ndarray:
         self.tokenizer.encode_special_tokens = not self.markers
-        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4").tobytes()
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit numbers."""
-        parts = [chunks(t) for t in texts]
-        if len(self.known) > self.most:
-            self.known.clear()
-        known = self.known
-        if new := [c for c in set(chain.from_iterable(parts)) if c not in known]:
-            self._learn(new)
-        out = [b"".join(map(known.__getitem__, p)) for p in parts]
-        for c in new:
-            if len(c) > LONG_CHUNK:
-                del known[c]
-        return out
+        if len(self.known) > self.most or self.known.used > 8 * self.most:
+            self.known = Kept()
+        data, starts, first = borders(texts)
+        sizes = np.diff(starts, append=len(data))
+        raw = np.frombuffer(data + bytes(SHORT), np.uint8)
+        chunk = np.full(len(starts), -1, np.int64)
+        short = np.flatnonzero(sizes <= SHORT) if b"\0" not in data else np.zeros(0, np.int64)
+        if len(short):
+            taken = np.lib.stride_tricks.sliding_window_view(raw, SHORT)[starts[short]]
+            taken[np.arange(SHORT) >= sizes[short][:, None]] = 0
+            keys = taken.view("<u8")
+            chunk[short] = self.known.find(keys)
+            new = np.flatnonzero(chunk[short] < 0)
+            if len(new):
+                lone, where, which = np.unique(keys[new].view(f"V{SHORT}").ravel(), return_index=True, return_inverse=True)
+                at = short[new[where]]
+                number = self._learn([data[a : a + n].decode() for a, n in zip(starts[at].tolist(), sizes[at].tolist(), strict=True)])
+                self.known.enter(lone.view("<u8").reshape(-1, WORDS), number)
+                chunk[short[new]] = number + which.ravel()
+        rest = np.flatnonzero(chunk < 0)
+        if len(rest):
+            long = self.known.long
+            parts = [data[a : a + n] for a, n in zip(starts[rest].tolist(), sizes[rest].tolist(), strict=True)]
+            if fresh := [c for c in dict.fromkeys(parts) if c not in long]:
+                number = self._learn([c.decode() for c in fresh])
+                long.update(zip(fresh, range(number, number + len(fresh))))
+            chunk[rest] = [long[c] for c in parts]
+            for c in fresh:
+                if len(c) > LONG_CHUNK:
+                    del long[c]
+        ids, ends = self.known.gather(chunk)
+        ends = np.concatenate(([0], ends))[first].tolist()
+        out = ids.astype("<u4", copy=False).tobytes()
+        return [out[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+
+
+def borders(texts: list[str]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The texts in UTF-8 one after another, where their chunks begin, and the number of each text's first chunk (and of all chunks)."""
+    encoded = [t.encode() for t in texts]
+    data = b"".join(encoded)
+    ends = np.cumsum([len(e) for e in encoded], dtype=np.int64) if encoded else np.zeros(0, np.int64)
+    begins = np.concatenate(([0], ends))[:-1]
+    odd = [k for k, t in enumerate(texts) if _BESIDE.search(t)]
+    cut = np.frombuffer(data, np.uint8) == 0x20
+    filled = begins[begins < ends]
+    cut[filled] = True
+    for k in odd:
+        cut[begins[k] : ends[k]] = False
+        inside = np.cumsum([len(c.encode()) for c in chunks(texts[k])])
+        cut[begins[k] + np.concatenate(([0], inside[:-1]))] = True
+    starts = np.flatnonzero(cut)
+    return data, starts, np.searchsorted(starts, np.append(begins, len(data)))
 
 
 def chunks(text: str) -> list[str]:
     """The text cut before single spaces between other characters; joined, the chunks are the text."""
-    if "\0" not in text and not _BESIDE.search(text):
-        return text.replace(" ", "\0 ").split("\0") if text[:1] != " " else [text[0] + c if k == 0 else c for k, c in enumerate(text[1:].replace(" ", "\0 ").split("\0"))]
     words = text.split(" ")
     out = [words[0]]
     for before, word in zip(words, words[1:]):

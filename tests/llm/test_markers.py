@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from starloom.llm import packing, tokenfile, tokens
@@ -49,3 +50,19 @@ def test_packing_query_and_stage(spark, tmp_path):
         for r in rows:
             ids = [*whole(TEXTS[r["doc_id"]]), packing.END_ID]
             assert (r["doc_tokens"], r["ids_crc32"]) == (len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+@pytest.mark.parametrize("most", [50, 1_500_000])
+def test_chunks_kept_or_forgotten_give_the_ids_of_whole_texts(name, most):
+    """Short, long and new chunks, white space of all kinds, NUL, empty texts, steps of any size."""
+    rng = random.Random(most)
+    pool = ["a", "b", " ", "  ", "\n", "\0", "é", "日本", "<|endoftext|>", "<|", " the", "'s", "123", "x" * 30, " " + "y" * 140, "\U0001f600", "́", "\x1c", "\x85", "Ab", " of", " in"]
+    texts = ["".join(rng.choice(pool) for _ in range(rng.randint(0, 25))) for _ in range(700)]
+    for markers in (True, False):
+        mine, whole = tokens.Encoder(tokens.tokenizer_path(name), most, markers), Tokenizer.from_file(tokens.tokenizer_path(name))
+        whole.encode_special_tokens = not markers
+        for at in range(0, len(texts), 35):
+            step = texts[at : at + 35]
+            assert [np.frombuffer(x, "<u4").tolist() for x in mine.encode(step)] == [whole.encode(t, add_special_tokens=False).ids for t in step]
+        assert mine.encode([]) == [] and mine.encode(["", ""]) == [b"", b""]
