@@ -53,6 +53,39 @@ def test_filters_find_every_key_and_few_others(spark):
     assert found(other) <= 4
 
 
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_key_filters_hold_one_row_a_key_until_its_bits_are_set(spark):
+    keys = spark.range(3000).select(F.concat(F.lit("s"), F.col("id") % 3).alias("segment"), (F.col("id") % 3 * 2 + 1).alias("slices"), F.xxhash64("id").alias("h"))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    try:
+        built = keyfilter.build(keys.unionByName(keys.limit(50)))
+        found = {(r["segment"], r["slices"], r["slice"]): bytes(r["bits"]) for r in built.collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = {}
+    for r in keys.select("*", F.pmod("h", "slices").alias("slice"), keyfilter._probes(F.col("h")).alias("places")).collect():
+        bits = expected.setdefault((r["segment"], r["slices"], r["slice"]), bytearray(keyfilter.SLICE_BITS // 8))
+        for p in r["places"]:
+            bits[p // 8] |= 1 << p % 8
+    assert len(found) == built.count() == 9
+    assert found == {k: bytes(v) for k, v in expected.items()}
+    # ten rows a key were sorted in the task that read the segment
+    assert "Generate" not in _plan(built) and "SortAggregate" not in _plan(built)
+    assert keyfilter.build(keys.limit(0)).count() == 0
+
+
+def test_a_key_is_looked_up_without_reading_its_slice_anew(spark):
+    keys = spark.range(2000).select(F.xxhash64("id").alias("h"))
+    filters = keyfilter.build(keys.select(F.lit("s").alias("segment"), F.lit(2).cast("bigint").alias("slices"), "h"))
+    joined = keyfilter.maybe(filters, keys, [2])
+    assert joined.distinct().count() == 2000
+    above = _plan(joined).split("Join", 1)[1].split("\n", 1)[0]  # the join's line with its condition
+    assert "lambda" not in above and "conv(" not in above
+
+
 def test_a_batch_reads_the_segments_it_can_touch(spark, store):
     txn = store.begin()
     again = lines(spark, 1000, 1010, 202402).unionByName(lines(spark, 5000, 5010, 202404))
