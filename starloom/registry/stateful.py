@@ -12,15 +12,21 @@ from . import sql as S
 from .core import ORACLE, query
 from .loads import EVENT_VERSIONS
 
+#: Files of a delivery, and of a micro-batch.
+FILES = 2
+
 
 def _arrive(df: DataFrame, period, late, folder: str) -> None:
-    """Drop rows as one delivery a period, in order: rows of `late` a period after their own, and every tenth row twice."""
+    """Drop rows as one delivery a period, in order: rows of `late` a period after their own, and every tenth row twice.
+
+    A delivery is at most FILES files however large it is, so the number of micro-batches follows the periods and not the rows.
+    """
     own = period + F.when(late, 1).otherwise(0)
     again = F.when(F.xxhash64(*df.columns) % 10 == 0, F.array(own, own + 1)).otherwise(F.array(own))
     deliveries = df.withColumn("_delivery", F.explode(again)).persist()
     low, high = deliveries.agg(F.min("_delivery"), F.max("_delivery")).first()
     for n in range(low, high + 1):
-        deliveries.filter(F.col("_delivery") == n).drop("_delivery").write.mode("append").parquet(folder)
+        deliveries.filter(F.col("_delivery") == n).drop("_delivery").coalesce(FILES).write.mode("append").parquet(folder)
     deliveries.unpersist()
 
 
@@ -31,7 +37,7 @@ def stream_state_versions(spark, sf_dir) -> DataFrame:
     log = B.table(spark, sf_dir, "events").select("user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "event_id")
     period = F.floor(F.unix_seconds("ts") / (5 * 86_400)).cast("int")
     _arrive(log, period, F.col("event_id") % 7 == 0, f"{root}/drop")
-    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/drop")
+    stream = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/drop")
     # a row comes at most two deliveries after its own
     changes = state.version_changes(stream, ["event_type"], "ts", EVENT_VERSIONS, "event_id", "15 days")
     state.apply_changes(changes, f"{root}/changes", f"{root}/checkpoint").awaitTermination()
@@ -45,7 +51,7 @@ def stream_state_lines(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "state-lines")
     lines = B.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_shipdate").cast("timestamp").alias("shipped"))
     _arrive(lines, F.floor(F.year("shipped") / 2).cast("int"), F.col("l_orderkey") % 7 == 0, f"{root}/drop")
-    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/drop")
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", FILES).parquet(f"{root}/drop")
     once = state.unique_lines(stream, ["l_orderkey", "l_linenumber", "shipped"], "shipped", "2200 days")
     writer = once.writeStream.format("parquet").option("path", f"{root}/lines").option("checkpointLocation", f"{root}/checkpoint")
     writer.trigger(availableNow=True).start().awaitTermination()

@@ -73,3 +73,14 @@ def test_streamed_versions_with_nulls_late_rows_and_an_empty_drop(spark, tmp_pat
     ]
     late = state.late_changes(spark, str(tmp_path / "out"), changes.schema, SPEC).collect()
     assert [(r["id"], str(r["changed_at"])) for r in late] == [("A", "2024-01-02 00:00:00")]
+
+
+def test_the_files_of_a_delivery_do_not_follow_the_partitions_of_the_input(spark, tmp_path):
+    from starloom.registry import stateful
+
+    rows = spark.range(0, 600, numPartitions=12).withColumn("period", (F.col("id") % 3).cast("int"))
+    stateful._arrive(rows, F.col("period"), F.col("id") % 7 == 0, str(tmp_path / "drop"))
+    files = list((tmp_path / "drop").glob("*.parquet"))
+    assert len(files) <= stateful.FILES * 5  # three periods, one late, one sent twice
+    back = spark.read.schema(rows.schema).parquet(str(tmp_path / "drop"))
+    assert back.distinct().count() == 600 and back.count() > 600
