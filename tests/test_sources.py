@@ -122,3 +122,20 @@ def test_preview_is_bounded_and_allow_listed(spark):
     assert preview(tables, "dim_date", 900).count() == 500
     with pytest.raises(ValueError):
         preview(tables, "secret")
+
+
+def test_order_lines_carry_their_part_once_through_the_exchange(spark, tmp_path):
+    from starloom.plans import bindings as B
+
+    line = "1L l_orderkey, cast(null as bigint) l_partkey, 3L l_suppkey, 1 l_linenumber, 2D l_quantity, 10D l_extendedprice, 0.1D l_discount, 0.2D l_tax"
+    rest = "'N' l_returnflag, 'O' l_linestatus, timestamp_ntz'1996-01-02' l_shipdate"
+    lines = spark.sql(f"select {line}, {rest}")
+    lines.unionByName(lines.withColumn("l_partkey", F.lit(7).cast("bigint"))).write.parquet(str(tmp_path / "lineitem.parquet"))
+    order = "1L o_orderkey, 5L o_custkey, 'O' o_orderstatus, 1D o_totalprice, timestamp_ntz'1996-01-01' o_orderdate, '1' o_orderpriority"
+    spark.sql(f"select {order}").write.parquet(str(tmp_path / "orders.parquet"))
+    staged = B.stg_orders(spark, str(tmp_path))
+    assert staged.columns[:4] == ["order_id", "order_line_number", "product_id", "quantity"]
+    assert staged.columns[-2:] == ["customer_id", "order_timestamp"]
+    assert {(r["order_id"], r["product_id"], r["l_partkey"]) for r in staged.collect()} == {("1", None, None), ("1", "7", 7)}
+    plan = staged._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("AS product_id") < plan.index("Join")
