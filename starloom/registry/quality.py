@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_customers, clean_orders, clean_products, order_reject_rules, split_rejects
+from ..operators.clean import clean_customers, order_reject_rules, split_rejects
 from ..operators.quality import (
     failure_alerts, layer_checks, load_checks, model_checks, quality_log, reject_log, run_assertions, staging_checks, summarize,
 )
@@ -122,13 +122,11 @@ SELECT CAST(28 AS BIGINT) AS checks, CAST(27 AS BIGINT) AS passed, CAST(0 AS BIG
   (SELECT COUNT(*) FROM customer) AS unknown_tiers"""))
 def layer_tests(spark, sf_dir) -> DataFrame:
     """All declared column tests; the test data's tiers are none of the accepted ones."""
-    w = sales(spark, sf_dir)
+    w = sales(spark, sf_dir, write_staging=True)
     fact = materialize(w.fact_sales, "fact_sales")
     customers = materialize(clean_customers(B.customer_batches(spark, sf_dir)[0]), "stg_customers")
     tables = {
-        **w.tables(), "fact_sales": fact, "stg_customers": customers,
-        "stg_products": clean_products(B.stg_products(spark, sf_dir)),
-        "stg_orders": clean_orders(B.stg_orders(spark, sf_dir), B.ORDER_TIES, ids_trimmed=True),
+        **w.tables(), "fact_sales": fact, "stg_customers": customers, "stg_products": w.stg_products, "stg_orders": w.stg_orders,
         "fct_mom_revenue": marts.mom_revenue(fact, w.dim_date),
         "fct_cohort_retention": marts.cohort_retention(fact, w.dim_customer, w.dim_date),
         "fct_rfm_segmentation": marts.rfm_scores(marts.rfm_metrics(fact, w.dim_customer, w.dim_date)),

@@ -47,3 +47,12 @@ def test_large_dimension_of_few_versions_is_joined_on_its_id(spark, rows, no_bro
     assert rows(facts, *columns) == rows(_built(spark, late=late, strategy="broadcast").fact_sales, *columns)
     assert facts.count() == (4 if late else 3)
 
+
+def test_staging_is_written_once_for_callers_that_read_it(spark, rows):
+    plain, written = _built(spark), _built(spark, write_staging=True)
+    for name in ("stg_orders", "stg_products", "dim_product"):
+        frame = getattr(written, name)
+        assert frame.inputFiles() and "Window" not in frame._jdf.queryExecution().optimizedPlan().toString()
+        assert rows(frame) == rows(getattr(plain, name))
+    columns = ["order_id", "order_line_number", "customer_key", "product_key", "net_amount"]
+    assert rows(plain.fact_sales, *columns) == rows(written.fact_sales, *columns)
