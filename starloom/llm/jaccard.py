@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ..session import materialize
-from .common import lean, mixed, reachable, shingle_hashes, signed, steps, table
+from .common import column_texts, lean, mixed, reachable, shingle_hashes, signed, steps, table
 from .components import connected_components
 
 WIDTH = 5
@@ -88,7 +88,7 @@ def _hashed(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[pa.
     """Step by step: the ids, the shingles of all texts in a row, their number and the class of each text."""
     for batch in batches:
         ids, at = batch.column("doc_id").cast(pa.int64()), 0
-        for texts in steps(batch.column("text").to_pylist()):
+        for texts in steps(column_texts(batch.column("text"))):
             hashes, counts = shingle_hashes(texts, width)
             yield ids.slice(at, len(texts)), hashes, counts, class_keys(hashes, counts)
             at += len(texts)
@@ -368,16 +368,15 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = WID
     several = materialize(several.select(F.col("ck").alias("__class"), F.col("n").alias("__size"), F.col("root").alias("__root"), F.col("component_id").alias("__least")), "several")
     bits = spark.sparkContext.broadcast(bitmap(several.select("__class")))
 
-    @F.pandas_udf("ck long, n long, maybe boolean")
+    @F.arrow_udf("ck long, n long, maybe boolean")
     @lean
-    def classed(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            out = []
-            for texts in steps(part):
+    def classed(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in columns:
+            for texts in steps(column_texts(column)):
                 hashes, counts = shingle_hashes(texts, width)
                 keys = class_keys(hashes, counts)
-                out.append(pd.DataFrame({"ck": keys, "n": counts, "maybe": (counts > 0) & in_bitmap(bits.value, keys)}))
-            yield pd.concat(out) if out else pd.DataFrame({"ck": [], "n": [], "maybe": []})
+                values = [pa.array(keys), pa.array(counts, pa.int64()), pa.array((counts > 0) & in_bitmap(bits.value, keys))]
+                yield pa.StructArray.from_arrays(values, ["ck", "n", "maybe"])
 
     marked = docs.withColumn("__c", classed("text"))
     alone = marked.where(~F.col("__c.maybe")).select(*docs.columns)
