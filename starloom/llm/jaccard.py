@@ -12,7 +12,8 @@
    of 512 classes of hashes; the bits in which two sets differ are a lower bound of the elements that only one of them has.
 4. Pairs are made distinct and each is verified once, on whole sets. Sets are larger than their texts, so they are never kept: the texts of the
    classes that have a pair are hashed again. Components of the verified links are complete: a pair that was never verified is either in one
-   component already or was ruled out by a bound.
+   component already or was ruled out by a bound. That is all that components need; similarity_join() by itself goes on and verifies the pairs
+   inside components too, so that its links are all pairs of classes that reach the threshold. Their number may grow with the square of a group.
 
 Words are runs without U+0020 and U+0009-U+000D, A-Z in lower case. Fewer words than a shingle: all of them as one. Null or empty text, or
 text without words: the empty set, linked with nothing. Rows may repeat: equal texts are one class, whatever their ids. A null id counts as
@@ -258,7 +259,8 @@ def in_bitmap(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Join:
-    """keyed: a row per document (doc_id, n, ck). classes: a row per class (ck, n, rep, size, s0..). links: verified pairs of classes (a, b). roots: (ck, root)."""
+    """keyed: a row per document (doc_id, n, ck). classes: a row per class (ck, n, rep, size, s0..). links: pairs of classes that reach the threshold (a, b),
+    all of them or enough to span the components. roots: (ck, root)."""
 
     keyed: DataFrame
     classes: DataFrame
@@ -266,7 +268,8 @@ class Join:
     roots: DataFrame
 
 
-def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot_level: int = HOT_LEVEL) -> Join:
+def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT, hot_level: int = HOT_LEVEL, spanning: bool = False) -> Join:
+    """With `spanning`, classes that are in one component already are not compared any further."""
     spark = documents.sparkSession
     reachable(spark)
     texts = documents.select("doc_id", "text")
@@ -314,7 +317,7 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
         several = rooted.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("token")
         return rooted.join(several, "token")
 
-    for k in range(PIVOT_ROUNDS):
+    for k in range(PIVOT_ROUNDS if spanning else 0):
         mixed_lists = open_lists()
         salt = F.lit(_SALTS[k] ^ 0x7F4A7C15)
         pivots = mixed_lists.groupBy("token").agg(F.min(F.col("ck").bitwiseXOR(salt)).alias("low"), F.max(F.col("ck").bitwiseXOR(salt)).alias("high"))
@@ -329,7 +332,8 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
         links = links.unionByName(verified(more, "links"))
         roots = connected_components(links)
 
-    rest = open_lists().join(classes.select("ck", *_MARKS), "ck")
+    rest = open_lists() if spanning else lists.withColumn("root", F.col("ck"))
+    rest = rest.join(classes.select("ck", *_MARKS), "ck")
     one, two = (rest.select("token", F.col("ck").alias(x), F.col("n").alias(f"n_{x}"), F.col("pos").alias(f"pos_{x}"), F.col("root").alias(f"root_{x}"), *[F.col(s).alias(f"{x}{k}") for k, s in enumerate(_MARKS)]) for x in "ab")
     bound = f"{100 + percent} * least(n_a - pos_a, n_b - pos_b) >= {percent} * (n_a + n_b)"
     pairs = one.join(two, "token").where(f"a < b and root_a <> root_b and {length} and {bound} and {may_reach(percent)}").select("a", "b").distinct()
@@ -349,7 +353,7 @@ def class_components(joined: Join) -> DataFrame:
 
 def components(documents: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id, component_rows for every row of documents."""
-    joined = similarity_join(documents, width, percent)
+    joined = similarity_join(documents, width, percent, spanning=True)
     found = joined.keyed.join(class_components(joined).select("ck", "n", "component_id", "rows"), ["ck", "n"], "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"), F.coalesce("rows", F.lit(1)).alias("component_rows"))
 
@@ -363,7 +367,7 @@ def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str, width: int = WID
 
     Rows whose class is surely alone pass without a shuffle; a bitmap of the other classes tells.
     """
-    joined = similarity_join(docs, width, percent)
+    joined = similarity_join(docs, width, percent, spanning=True)
     several = class_components(joined).where("rows > 1")
     several = materialize(several.select(F.col("ck").alias("__class"), F.col("n").alias("__size"), F.col("root").alias("__root"), F.col("component_id").alias("__least")), "several")
     bits = spark.sparkContext.broadcast(bitmap(several.select("__class")))
