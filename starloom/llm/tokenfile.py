@@ -75,17 +75,26 @@ def code_words(lengths: np.ndarray) -> np.ndarray:
 
 def pack_bits(ids: np.ndarray, words: np.ndarray, lengths: np.ndarray, stride: int = STRIDE) -> tuple[bytes, np.ndarray]:
     """The code words of the ids in a row, and the bit offset of every stride-th."""
-    sizes = lengths[ids].astype(np.int64)
+    if not len(ids):
+        return b"", np.zeros(0, "<u8")
+    ids = ids.astype(np.intp)
+    sizes, codes = lengths[ids], words[ids]
+    parts = np.add.reduceat(sizes, np.arange(0, len(ids), stride), dtype=np.int64)
+    if len(ids) % 2:
+        sizes, codes = np.append(sizes, np.uint8(0)), np.append(codes, np.uint32(0))
+    # Two code words are one of at most 32 bits, so half as many have to be placed.
+    codes = codes[0::2] << sizes[1::2] | codes[1::2]
+    sizes = (sizes[0::2] + sizes[1::2]).astype(np.int64)
     ends = np.cumsum(sizes)
     at = ends - sizes
-    cell, room = at >> 5, 64 - sizes - (at & 31)
-    wide = words[ids].astype(np.uint64) << room.astype(np.uint64)
-    cells = np.zeros(int(ends[-1] + 31 >> 5) + 2 if len(ids) else 1, np.uint64)
-    if len(ids):
-        first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
-        cells[cell[first]] += np.add.reduceat(wide >> np.uint64(32), first)
-        cells[cell[first] + 1] += np.add.reduceat(wide & np.uint64(0xFFFFFFFF), first)
-    return cells.astype(">u4").tobytes()[: int(ends[-1] + 7 >> 3) if len(ids) else 0], at[::stride].astype("<u8")
+    cell = at >> 5
+    wide = codes.astype(np.uint64) << (64 - sizes - (at & 31)).astype(np.uint64)
+    first = np.flatnonzero(np.concatenate(([True], cell[1:] != cell[:-1])))
+    held = np.add.reduceat(wide, first)  # bits of different words never meet
+    cells = np.zeros(int(ends[-1] + 31 >> 5) + 2, np.uint64)
+    cells[cell[first]] = held >> np.uint64(32)
+    cells[cell[first] + 1] += held & np.uint64(0xFFFFFFFF)
+    return cells.astype(">u4").tobytes()[: int(ends[-1] + 7 >> 3)], (np.cumsum(parts) - parts).astype("<u8")
 
 
 def decode_table(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +128,8 @@ def unpack_bits(payload: bytes, checkpoints: np.ndarray, number: int, tables: tu
     return out.T.reshape(-1)[:number]
 
 
-_TOKENS = "shard int, seq long, before long, doc_id long, n long, ids binary"
+#: The last row of a task has no document but `counts`: how often each id from 0 on occurs in the task.
+_TOKENS = "shard int, seq long, before long, doc_id long, n long, ids binary, counts binary"
 _BLOCKS = "shard int, first_seq long, before long, n_docs long, n_tokens long, doc_ids binary, nulls binary, counts binary, payload binary, checkpoints binary"
 
 
@@ -127,17 +137,30 @@ def _tokenize(path: str, end_id: int, markers: bool):
     end = np.array([end_id], dtype="<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        part, seq, before = TaskContext.get().partitionId(), 0, 0
+        part, seq, before, seen = TaskContext.get().partitionId(), 0, 0, np.zeros(1, np.int64)
         for rows, texts in frame_steps(batches):
             ids = [x + end for x in encoder(path, markers=markers).encode(texts)]
             n = np.array([len(x) // 4 for x in ids], np.int64)
-            small = [np.frombuffer(x, "<u4").astype("<u2").tobytes() if np.frombuffer(x, "<u4").max() < 1 << 16 else x for x in ids]
-            yield pd.DataFrame({"shard": part, "seq": np.arange(seq, seq + len(n)), "before": before + np.cumsum(n) - n, "doc_id": rows["doc_id"].astype("Int64"), "n": n, "ids": small})
+            row = np.frombuffer(b"".join(ids), "<u4")
+            seen = _added(seen, np.bincount(row))
+            if row.max() < 1 << 16:
+                data, ends = row.astype("<u2").tobytes(), (2 * np.cumsum(n)).tolist()
+                ids = [data[a:b] for a, b in zip([0, *ends], ends)]
+            yield pd.DataFrame({"shard": part, "seq": np.arange(seq, seq + len(n)), "before": before + np.cumsum(n) - n, "doc_id": rows["doc_id"].astype("Int64"), "n": n, "ids": ids, "counts": None})
             seq, before = seq + len(n), before + int(n.sum())
+        yield pd.DataFrame({"shard": [part], "seq": [seq], "before": [before], "doc_id": pd.array([None], "Int64"), "n": [0], "ids": [b""], "counts": [seen.astype("<i8").tobytes()]})
 
     return run
 
 
+def _added(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Sums of counts by id, of which either may end earlier."""
+    out = np.zeros(max(len(a), len(b)), np.int64)
+    out[: len(a)] = a
+    out[: len(b)] += b
+    return out
+
+
 def _ids(data: bytes, n: int) -> np.ndarray:
     return np.frombuffer(data, "<u2" if len(data) == 2 * n else "<u4")
 
@@ -145,13 +168,8 @@ def _ids(data: bytes, n: int) -> np.ndarray:
 def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     seen = np.zeros(1, np.int64)
     for batch in batches:
-        for data, n in zip(batch["ids"], batch["n"], strict=True):
-            own = np.bincount(_ids(data, n))
-            if len(own) > len(seen):
-                own[: len(seen)] += seen
-                seen = own
-            else:
-                seen[: len(own)] += own
+        for data in batch["counts"]:
+            seen = _added(seen, np.frombuffer(data, "<i8"))
     kept = np.flatnonzero(seen)
     yield pd.DataFrame({"id": kept, "n": seen[kept]})
 
@@ -195,8 +213,9 @@ def write_tokens(documents: DataFrame, path: str, tokenizer: str | None = None,
     ordered = documents.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id")
     plain = f"{path}/plain"
     ordered.mapInPandas(_tokenize(source, end_id, markers), _TOKENS).write.option("compression", "zstd").parquet(plain)
-    tokens = spark.read.schema(_TOKENS).parquet(plain)
-    counted = tokens.select("n", "ids").mapInPandas(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row per id of the vocabulary
+    written = spark.read.schema(_TOKENS).parquet(plain)
+    tokens = written.where("counts is null").drop("counts")
+    counted = written.where("counts is not null").select("counts").mapInPandas(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()  # a row per id of the vocabulary
     counts = np.zeros(int(counted["id"].max()) + 1 if len(counted) else 1, np.int64)
     counts[counted["id"].to_numpy()] = counted["n"].to_numpy()
     lengths = code_lengths(counts)

@@ -23,6 +23,14 @@ SHORT = 8 * WORDS
 #: A chunk of more bytes is encoded each time and not kept.
 LONG_CHUNK = 128
 
+#: New chunks that are encoded as one text; a longer text takes more time for each.
+TOGETHER = 200
+#: The mask of the bytes that a short chunk of each length has.
+_MASKS = ((np.arange(SHORT) < np.arange(SHORT + 1)[:, None]) * np.uint8(255)).view("<u8")
+#: Chunks that may stand in a row without a mark: a space, then no white space at either end. Where texts are normalized, only characters
+#: that keep their number of bytes in it, which ASCII and U+00C0 to U+00FF do when lower-cased and composed.
+_WHOLE = re.compile(r"\x20\S(?:.*\S)?", re.S)
+_STEADY = re.compile(r"\x20[!-~\xc0-\xff](?:[\t\n\r\x20-~\xc0-\xff]*[!-~\xc0-\xff])?")
 #: A space beside white space, or at the end.
 _BESIDE = re.compile(r"\x20(?:\s|\Z|(?<=\s\x20))")
 # Odd constants that spread a chunk's numbers over the slots; any would do.
@@ -47,23 +55,33 @@ class Kept:
         return self.number
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        h = (keys * _SPREAD).sum(axis=1, dtype=np.uint64)
+        h = keys[:, 0] * _SPREAD[0]
+        for k in range(1, WORDS):
+            h += keys[:, k] * _SPREAD[k]
         h ^= h >> np.uint64(29)
         h *= _SPREAD[1]
         return (h >> np.uint64(65 - len(self.slots).bit_length())).astype(np.int64)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The number of each chunk, -1 for unknown ones."""
-        out = np.full(len(keys), -1, np.int64)
-        left, slot = np.arange(len(keys)), self._slot(keys)
+        slot = self._slot(keys)
+        out = self.slots[slot].astype(np.int64)
+        left = np.flatnonzero((out >= 0) & ~self._same(out, keys))
+        slot = slot[left]
         while len(left):
-            chunk = self.slots[slot]
-            hit = (chunk >= 0) & (self.keys[chunk] == keys[left]).all(axis=1)
-            out[left[hit]] = chunk[hit]
-            on = (chunk >= 0) & ~hit
-            left, slot = left[on], slot[on] + 1 & len(self.slots) - 1
+            slot = slot + 1 & len(self.slots) - 1
+            out[left] = chunk = self.slots[slot].astype(np.int64)
+            on = np.flatnonzero((chunk >= 0) & ~self._same(chunk, keys[left]))
+            left, slot = left[on], slot[on]
         return out
 
+    def _same(self, chunk: np.ndarray, keys: np.ndarray) -> np.ndarray:
+        held = self.keys[chunk]
+        same = held[:, 0] == keys[:, 0]
+        for k in range(1, WORDS):
+            same &= held[:, k] == keys[:, k]
+        return same
+
     def add(self, ids: np.ndarray, sizes: np.ndarray) -> int:
         """Keep the ids of new chunks, one after another; the number of the first."""
         first, n = self.number, len(sizes)
@@ -112,24 +130,50 @@ class Encoder:
         added = max(self.tokenizer.get_added_tokens_decoder().items())
         self.mark, self.mark_id = added[1].content, added[0]
         self.known = Kept()
+        self.normalized = self.tokenizer.normalizer is not None
+        self.joinable = (_STEADY if self.normalized else _WHOLE).fullmatch
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or "</w>"
+        # Bytes of text that each id stands for: both vocabularies are written with one character a byte.
+        self.bytes = np.array([len((self.tokenizer.id_to_token(i) or "").removesuffix(suffix if self.normalized else "")) for i in range(self.mark_id + 1)], np.int64)
 
     def _learn(self, chunks: list[str]) -> int:
-        """Encode new chunks in one call, parted by the special token, whose id no ordinary text gives; the number of the first."""
-        whole = [c for c in chunks if "<|" not in c]
-        found = np.zeros(0, np.uint32)
-        if whole:
-            self.tokenizer.encode_special_tokens = False
-            found = np.array(self.tokenizer.encode_batch_fast([self.mark.join(whole)], add_special_tokens=False)[0].ids, dtype=np.uint32)
-        cut = np.flatnonzero(found == self.mark_id)
-        ends = np.append(cut, len(found))[: len(whole)]
-        sizes = np.diff(ends, prepend=-1) - 1
-        ids = np.delete(found, cut)
-        if len(whole) < len(chunks):
-            parts, at = [], iter(np.split(ids, np.cumsum(sizes)[:-1]) if whole else [])
-            parts = [self._alone(c) if "<|" in c else next(at) for c in chunks]
-            ids, sizes = np.concatenate(parts), np.array([len(x) for x in parts])
+        """Encode new chunks; the number of the first."""
+        joined, marked, alone = [], [], []
+        for k, c in enumerate(chunks):
+            (alone if "<|" in c else joined if self.joinable(c) else marked).append(k)
+        found = self._joined([chunks[k] for k in joined])
+        if found is None:  # a tokenizer that isn't as its form says
+            joined, marked, found = [], sorted(joined + marked), (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+        found = [found, self._marked([chunks[k] for k in marked]), *((x, [len(x)]) for x in (self._alone(chunks[k]) for k in alone))]
+        ids, sizes = np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found]).astype(np.int64)
+        if len(joined) < len(chunks):  # back to the order of the chunks
+            order = np.argsort(np.concatenate((joined, marked, alone)).astype(np.int64))
+            starts, sizes = (np.cumsum(sizes) - sizes)[order], sizes[order]
+            ids = ids[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(ids))]
         return self.known.add(ids, sizes)
 
+    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of chunks that need no mark between them, and how many each has, told by the bytes that ids stand for; None if they don't add up."""
+        if not chunks:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        texts = ["".join(chunks[i : i + TOGETHER]) for i in range(0, len(chunks), TOGETHER)]
+        ids = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+        ends = np.cumsum([len("".join(c.split()).encode() if self.normalized else c.encode()) for c in chunks])
+        reached = np.cumsum(self.bytes[ids])
+        last = np.searchsorted(reached, ends)
+        if last[-1] != len(ids) - 1 or (reached[last] != ends).any():
+            return None
+        return ids, np.diff(last, prepend=-1)
+
+    def _marked(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of chunks parted by the special token, whose id no ordinary text gives, and how many each has."""
+        if not chunks:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.tokenizer.encode_special_tokens = False
+        found = np.array(self.tokenizer.encode_batch_fast([self.mark.join(chunks)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        cut = np.flatnonzero(found == self.mark_id)
+        return np.delete(found, cut), np.diff(np.append(cut, len(found)), prepend=-1) - 1
+
     def _alone(self, text: str) -> np.ndarray:
         self.tokenizer.encode_special_tokens = not self.markers
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype=np.uint32)
@@ -144,9 +188,8 @@ class Encoder:
         chunk = np.full(len(starts), -1, np.int64)
         short = np.flatnonzero(sizes <= SHORT) if b"\0" not in data else np.zeros(0, np.int64)
         if len(short):
-            taken = np.lib.stride_tricks.sliding_window_view(raw, SHORT)[starts[short]]
-            taken[np.arange(SHORT) >= sizes[short][:, None]] = 0
-            keys = taken.view("<u8")
+            keys = np.lib.stride_tricks.sliding_window_view(raw, SHORT)[starts[short]].view("<u8")
+            keys &= _MASKS[sizes[short]]
             chunk[short] = self.known.find(keys)
             new = np.flatnonzero(chunk[short] < 0)
             if len(new):
