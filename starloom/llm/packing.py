@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import TEXT_ROWS, materialize
 from .common import frame_steps, give_back, reachable, table
 from .tokens import MOST_CHUNKS, encoder, tokenizer_path
 
@@ -155,7 +155,7 @@ def pack(documents: DataFrame, tokenizer: str | None = None, capacity: int = CAP
     def encode(texts: list[str]) -> list[bytes]:
         return encoder(path, kept_chunks, markers).encode(texts)
 
-    pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id, kept_chunks), PIECES), "packing")
+    pieces = materialize(documents.select("doc_id", "text").mapInPandas(_packed(encode, capacity, end_id, kept_chunks), PIECES), "packing", TEXT_ROWS)
     placed = pieces.where(F.col("sequence_id").isNotNull())
     rests = pieces.where(F.col("sequence_id").isNull())
     return placed.unionByName(rests.groupBy(F.floor(F.col("offset") / TOGETHER)).applyInPandas(_together(capacity), PIECES))

@@ -28,9 +28,9 @@ TOGETHER = 200
 #: The mask of the bytes that a short chunk of each length has.
 _MASKS = ((np.arange(SHORT) < np.arange(SHORT + 1)[:, None]) * np.uint8(255)).view("<u8")
 #: Chunks that may stand in a row without a mark: a space, then no white space at either end. Where texts are normalized, only characters
-#: that keep their number of bytes in it, which ASCII and U+00C0 to U+00FF do when lower-cased and composed.
+#: that keep their number of bytes in it, which ASCII and U+00C0 to U+00FF (lead byte C3) do when lower-cased and composed.
 _WHOLE = re.compile(r"\x20\S(?:.*\S)?", re.S)
-_STEADY = re.compile(r"\x20[!-~\xc0-\xff](?:[\t\n\r\x20-~\xc0-\xff]*[!-~\xc0-\xff])?")
+_STEADY = re.compile(rb"\x20[!-~\xc3](?:[\t\n\r\x20-~\x80-\xbf\xc3]*[!-~\x80-\xbf])?")
 #: A space beside white space, or at the end.
 _BESIDE = re.compile(r"\x20(?:\s|\Z|(?<=\s\x20))")
 # Odd constants that spread a chunk's numbers over the slots; any would do.
@@ -131,20 +131,19 @@ class Encoder:
         self.mark, self.mark_id = added[1].content, added[0]
         self.known = Kept()
         self.normalized = self.tokenizer.normalizer is not None
-        self.joinable = (_STEADY if self.normalized else _WHOLE).fullmatch
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None) or "</w>"
         # Bytes of text that each id stands for: both vocabularies are written with one character a byte.
         self.bytes = np.array([len((self.tokenizer.id_to_token(i) or "").removesuffix(suffix if self.normalized else "")) for i in range(self.mark_id + 1)], np.int64)
 
-    def _learn(self, chunks: list[str]) -> int:
+    def _learn(self, chunks: list[bytes]) -> int:
         """Encode new chunks; the number of the first."""
-        joined, marked, alone = [], [], []
+        joined, marked, alone, steady, free = [], [], [], _STEADY.fullmatch, not self.normalized
         for k, c in enumerate(chunks):
-            (alone if "<|" in c else joined if self.joinable(c) else marked).append(k)
+            (alone if b"<|" in c else joined if steady(c) or free and _WHOLE.fullmatch(c.decode()) else marked).append(k)
         found = self._joined([chunks[k] for k in joined])
         if found is None:  # a tokenizer that isn't as its form says
             joined, marked, found = [], sorted(joined + marked), (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-        found = [found, self._marked([chunks[k] for k in marked]), *((x, [len(x)]) for x in (self._alone(chunks[k]) for k in alone))]
+        found = [found, self._marked([chunks[k] for k in marked]), *((x, [len(x)]) for x in (self._alone(chunks[k].decode()) for k in alone))]
         ids, sizes = np.concatenate([x for x, _ in found]), np.concatenate([n for _, n in found]).astype(np.int64)
         if len(joined) < len(chunks):  # back to the order of the chunks
             order = np.argsort(np.concatenate((joined, marked, alone)).astype(np.int64))
@@ -152,25 +151,25 @@ class Encoder:
             ids = ids[np.repeat(starts - (np.cumsum(sizes) - sizes), sizes) + np.arange(len(ids))]
         return self.known.add(ids, sizes)
 
-    def _joined(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+    def _joined(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray] | None:
         """The ids of chunks that need no mark between them, and how many each has, told by the bytes that ids stand for; None if they don't add up."""
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        texts = ["".join(chunks[i : i + TOGETHER]) for i in range(0, len(chunks), TOGETHER)]
+        texts = [b"".join(chunks[i : i + TOGETHER]).decode() for i in range(0, len(chunks), TOGETHER)]
         ids = np.concatenate([np.array(x.ids, dtype=np.uint32) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
-        ends = np.cumsum([len("".join(c.split()).encode() if self.normalized else c.encode()) for c in chunks])
+        ends = np.cumsum([len(c.translate(None, b" \t\n\r")) for c in chunks] if self.normalized else [len(c) for c in chunks])
         reached = np.cumsum(self.bytes[ids])
         last = np.searchsorted(reached, ends)
         if last[-1] != len(ids) - 1 or (reached[last] != ends).any():
             return None
         return ids, np.diff(last, prepend=-1)
 
-    def _marked(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _marked(self, chunks: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of chunks parted by the special token, whose id no ordinary text gives, and how many each has."""
         if not chunks:
             return np.zeros(0, np.uint32), np.zeros(0, np.int64)
         self.tokenizer.encode_special_tokens = False
-        found = np.array(self.tokenizer.encode_batch_fast([self.mark.join(chunks)], add_special_tokens=False)[0].ids, dtype=np.uint32)
+        found = np.array(self.tokenizer.encode_batch_fast([self.mark.encode().join(chunks).decode()], add_special_tokens=False)[0].ids, dtype=np.uint32)
         cut = np.flatnonzero(found == self.mark_id)
         return np.delete(found, cut), np.diff(np.append(cut, len(found)), prepend=-1) - 1
 
@@ -195,7 +194,7 @@ class Encoder:
             if len(new):
                 lone, where, which = np.unique(keys[new].view(f"V{SHORT}").ravel(), return_index=True, return_inverse=True)
                 at = short[new[where]]
-                number = self._learn([data[a : a + n].decode() for a, n in zip(starts[at].tolist(), sizes[at].tolist(), strict=True)])
+                number = self._learn([data[a : a + n] for a, n in zip(starts[at].tolist(), sizes[at].tolist(), strict=True)])
                 self.known.enter(lone.view("<u8").reshape(-1, WORDS), number)
                 chunk[short[new]] = number + which.ravel()
         rest = np.flatnonzero(chunk < 0)
@@ -203,7 +202,7 @@ class Encoder:
             long = self.known.long
             parts = [data[a : a + n] for a, n in zip(starts[rest].tolist(), sizes[rest].tolist(), strict=True)]
             if fresh := [c for c in dict.fromkeys(parts) if c not in long]:
-                number = self._learn([c.decode() for c in fresh])
+                number = self._learn(fresh)
                 long.update(zip(fresh, range(number, number + len(fresh))))
             chunk[rest] = [long[c] for c in parts]
             for c in fresh:

@@ -16,7 +16,7 @@ def test_new_chunks_in_a_row(name):
     mine._marked = lambda chunks: marked.extend(chunks) or plain(chunks)
     got = mine.encode(TEXTS)
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [x.ids for x in whole.encode_batch_fast(TEXTS, add_special_tokens=False)]
-    assert " words," in "".join(TEXTS) and not {" words,", " some", " twice,", " not.\nA"} & set(marked)
+    assert " words," in "".join(TEXTS) and not {b" words,", b" some", b" twice,", b" not.\nA"} & set(marked)
     many = [" ".join(f"w{k}é{k * k}" for k in range(1, 1000))]
     assert [np.frombuffer(x, "<u4").tolist() for x in mine.encode(many)] == [x.ids for x in whole.encode_batch_fast(many, add_special_tokens=False)]
 
@@ -24,7 +24,7 @@ def test_new_chunks_in_a_row(name):
 def test_marks_where_bytes_do_not_add_up():
     mine, other = (tokens.Encoder(tokens.tokenizer_path("byte_bpe_50k.json"), markers=True) for _ in range(2))
     mine.bytes = mine.bytes + 1
-    assert mine._joined([" some", " words"]) is None
+    assert mine._joined([b" some", b" words"]) is None
     assert mine.encode(TEXTS) == other.encode(TEXTS)
 
 
