@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import materialize
+from ..session import TEXT_ROWS, materialize
 from .common import column_texts, lean, mixed, reachable, shingle_hashes, signed, steps, table
 from .components import connected_components
 
@@ -273,7 +273,7 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
     spark = documents.sparkSession
     reachable(spark)
     texts = documents.select("doc_id", "text")
-    keyed_all = materialize(texts.mapInArrow(lean(_keyed(width)), _KEYED), "keyed")
+    keyed_all = materialize(texts.mapInArrow(lean(_keyed(width)), _KEYED), "keyed", TEXT_ROWS)
     levels = spark.sparkContext.broadcast(_sketch_levels(keyed_all))
     keyed = keyed_all.where("part = -1")
     marks = [F.max(s).alias(s) for s in _MARKS]
@@ -283,7 +283,7 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
 
     postings = texts.mapInArrow(lean(_prefixes(width, percent, levels, hot_level)), "token long, ck long, n int, pos int, salt int")
     dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "ck")
-    lists = materialize(dealt.mapInArrow(_shared, "token long, ck long, n int, pos int"), "lists")
+    lists = materialize(dealt.mapInArrow(_shared, "token long, ck long, n int, pos int"), "lists", 4 * TEXT_ROWS)
 
     sides = [classes.select(F.col("ck").alias(x), F.col("n").alias(f"n_{x}"), F.col("lender").alias(f"lender_{x}"), *[F.col(s).alias(f"{x}{k}") for k, s in enumerate(_MARKS)]) for x in "ab"]
 
@@ -296,7 +296,7 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
         ends = filtered.select(F.col("a").alias("ck"), F.col("lender_a").alias("lender")).unionByName(filtered.select(F.col("b").alias("ck"), F.col("lender_b").alias("lender"))).distinct()
         wanted = spark.sparkContext.broadcast(bitmap(ends.select("lender")))
         likely = texts.mapInArrow(lean(_wanted_sets(width, wanted)), "ck long, lender long, items array<long>")
-        own = materialize(likely.join(ends, ["ck", "lender"], "leftsemi").select("ck", "items"), "sets")
+        own = materialize(likely.join(ends, ["ck", "lender"], "leftsemi").select("ck", "items"), "sets", TEXT_ROWS)
         left = filtered.select("a", "b", "n_a", "n_b").join(own.select(F.col("ck").alias("a"), F.col("items").alias("x")), "a")
         both = left.join(own.select(F.col("ck").alias("b"), F.col("items").alias("y")), "b")
         common = F.size(F.array_intersect("x", "y"))
