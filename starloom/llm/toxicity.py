@@ -89,18 +89,23 @@ def _features(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"doc_id": rows["doc_id"], "label": rows["label"], "slots": [s.tobytes() for s in feature_slots(texts)]})
 
 
-def _train(rows: pd.DataFrame) -> pd.DataFrame:
-    rows = rows.assign(order=[(int(i) * 0x9E3779B97F4A7C15) % (1 << 64) for i in rows["doc_id"]]).sort_values("order")
-    w, bias = ftrl([(np.frombuffer(s, np.int32), int(y)) for s, y in zip(rows["slots"], rows["label"], strict=True)])
+@lean
+def _train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The weights of the rows of a task, which come a batch at a time; only their slots are kept."""
+    rows = [(int(i) * 0x9E3779B97F4A7C15 % (1 << 64), np.frombuffer(s, np.int32), int(y)) for b in batches for i, s, y in zip(b["doc_id"], b["slots"], b["label"], strict=True)]
+    if not rows:
+        return
+    rows.sort(key=lambda row: row[0])
+    w, bias = ftrl([row[1:] for row in rows])
     kept = np.flatnonzero(w)
-    return pd.DataFrame({"slot": np.append(kept, -1).astype(np.int64), "weight": np.append(w[kept], bias)})
+    yield pd.DataFrame({"slot": np.append(kept, -1).astype(np.int64), "weight": np.append(w[kept], bias)})
 
 
 def train(documents: DataFrame, labels: DataFrame, target: str = "toxic") -> Model:
     """The non-zero weights, at most SLOTS, and the bias (slot -1) reach the driver."""
     reachable(documents.sparkSession)
     sample = labelled_sample(documents, labels, target).mapInPandas(_features, "doc_id long, label int, slots binary")
-    found = sample.groupBy(F.lit(0).alias("all")).applyInPandas(_train, "slot long, weight double").toPandas().sort_values("slot")
+    found = sample.repartition(1).mapInPandas(_train, "slot long, weight double").toPandas().sort_values("slot")
     if found.empty:
         return Model(np.zeros(0, np.int64), np.zeros(0), -math.inf)
     return Model(found["slot"].to_numpy()[1:], found["weight"].to_numpy()[1:], float(found["weight"].iloc[0]))
