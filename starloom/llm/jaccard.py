@@ -4,14 +4,15 @@
    counts shingles in a sketch of fixed size. The sketch gives every shingle a rank of rarity; it decides which order is used, never what is
    found, because any order that all documents share is correct.
 2. In that order, rarest first, the first n - ceil(t n) + 1 shingles of a class are its prefix: two classes that reach t share one of them.
-   Prefix shingles meet in one exchange; those held by one class only are dropped in a pass over the sorted lists. The sketch also tells which
-   shingles may be in very many texts: their lists are dealt over salts and kept whole.
+   Prefix shingles meet in one exchange; those held by one class only are dropped in a pass over the sorted lists, and a list of two classes,
+   as most are, becomes a pair at once. The sketch also tells which shingles may be in very many texts: their lists are dealt over salts and
+   kept whole.
 3. Every class that shares a prefix shingle is first compared with a few classes of that shingle's list, the same for all lists of a group
    (pivots), so that a group of many near copies grows together by its size and not by its square. Then all pairs in a list that are still in
    different components and pass the length and positional filters follow. The suffix filter stands in the join itself: a parity bit for each
    of 512 classes of hashes; the bits in which two sets differ are a lower bound of the elements that only one of them has.
 4. Pairs are made distinct and each is verified once, on whole sets. Sets are larger than their texts, so they are never kept: the texts of the
-   classes that have a pair are hashed again. Components of the verified links are complete: a pair that was never verified is either in one
+   classes that have a pair are hashed again and their sets go through one exchange, for either end of a pair. Components of the verified links are complete: a pair that was never verified is either in one
    component already or was ruled out by a bound. That is all that components need; similarity_join() by itself goes on and verifies the pairs
    inside components too, so that its links are all pairs of classes that reach the threshold. Their number may grow with the square of a group.
 
@@ -129,7 +130,7 @@ _KEYED = "doc_id long, n long, ck long, " + ", ".join(f"{s} long" for s in _MARK
 
 
 def _wanted_sets(width: int, shared):
-    """The sets of the rows whose id the bitmap may hold, one of each class and id in a task; other texts are not hashed."""
+    """The sets of the rows whose id and class two bitmaps may hold, one of each class and id in a task; texts of other ids are not hashed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set = set()
@@ -137,11 +138,11 @@ def _wanted_sets(width: int, shared):
         def likely() -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 ids = batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy()
-                yield batch.filter(pa.array(in_bitmap(shared.value, ids)))
+                yield batch.filter(pa.array(in_bitmap(shared.value[0], ids)))
 
         for ids, hashes, counts, keys in _hashed(likely(), width):
             rows = ids.fill_null(NO_ID).to_numpy()
-            first = _first_of(zip(keys.tolist(), rows.tolist(), strict=True), counts, seen)
+            first = _first_of(zip(keys.tolist(), rows.tolist(), strict=True), counts, seen) & in_bitmap(shared.value[1], keys)
             ends = np.concatenate(([0], np.cumsum(counts[first]))).astype(np.int32)
             items = pa.ListArray.from_arrays(pa.array(ends), pa.array(signed(hashes[np.repeat(first, counts)])))
             yield pa.RecordBatch.from_arrays([pa.array(keys[first]), pa.array(rows[first]), items], ["ck", "lender", "items"])
@@ -227,7 +228,46 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if first:
             out[0] = False
         given = last
-        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in columns[:4]], names[:4])
+        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in columns], names)
+
+
+def _lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shared lists; one of two classes is a single row that names the `other`, which is null in the rows of longer and of salted lists.
+
+    A list cut by the end of a batch is held back while it is short; a longer one is given out as it comes.
+    """
+    names = ["token", "ck", "n", "pos", "salt"]
+
+    def given(columns: list[np.ndarray], start: np.ndarray, couple: np.ndarray) -> pa.RecordBatch:
+        heads = start[couple]
+        other = np.zeros(len(columns[0]), np.int64)
+        other[heads] = columns[1][heads + 1]
+        alone, second = np.ones(len(other), bool), np.zeros(len(other), bool)
+        alone[heads], second[heads + 1] = False, True
+        keep = ~second
+        return pa.RecordBatch.from_arrays([*(pa.array(c[keep]) for c in columns[:4]), pa.array(other[keep], mask=alone[keep])], [*names[:4], "other"])
+
+    held, cut = None, False  # rows of the last list; whether rows of it were given out already
+    for batch in _shared(batches):
+        columns = [batch.column(c).to_numpy() for c in names]
+        if held is not None:
+            columns = [np.concatenate((h, c)) for h, c in zip(held, columns, strict=True)]
+        token, *_, salt = columns
+        if not len(token):
+            continue
+        start = np.flatnonzero(np.concatenate(([True], (token[1:] != token[:-1]) | (salt[1:] != salt[:-1]))))
+        size = np.diff(np.append(start, len(token)))
+        couple = (size == 2) & (salt[start] == 0)
+        couple[0] &= not cut
+        if size[-1] <= 2 and not (cut and len(start) == 1):
+            held, end, cut = [c[start[-1] :] for c in columns], start[-1], False
+            start, couple = start[:-1], couple[:-1]
+        else:
+            held, end, cut = None, len(token), True
+            couple[-1] = False
+        yield given([c[:end] for c in columns], start, couple)
+    if held is not None:
+        yield given(held, np.zeros(1, np.int64), np.array([len(held[0]) == 2 and not held[4][0]]))
 
 
 def _bit(a: np.ndarray) -> np.ndarray:
@@ -283,7 +323,9 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
 
     postings = texts.mapInArrow(lean(_prefixes(width, percent, levels, hot_level)), "token long, ck long, n int, pos int, salt int")
     dealt = postings.repartition("token", "salt").sortWithinPartitions("token", "salt", "ck")
-    lists = materialize(dealt.mapInArrow(_shared, "token long, ck long, n int, pos int"), "lists", 4 * TEXT_ROWS)
+    listed = materialize(dealt.mapInArrow(_lists, "token long, ck long, n int, pos int, other long"), "lists", 4 * TEXT_ROWS)
+    couples = listed.where(F.col("other").isNotNull()).select(F.least("ck", "other").alias("a"), F.greatest("ck", "other").alias("b"))
+    lists = listed.where(F.col("other").isNull()).drop("other")
 
     sides = [classes.select(F.col("ck").alias(x), F.col("n").alias(f"n_{x}"), F.col("lender").alias(f"lender_{x}"), *[F.col(s).alias(f"{x}{k}") for k, s in enumerate(_MARKS)]) for x in "ab"]
 
@@ -293,20 +335,20 @@ def similarity_join(documents: DataFrame, width: int = WIDTH, percent: int = PER
         """The links among distinct pairs (a, b): length and suffix filters, then whole sets."""
         filtered = pairs.join(sides[0], "a").join(sides[1], "b").where(f"{length} and {may_reach(percent)}")
         filtered = materialize(filtered.select("a", "b", "n_a", "n_b", "lender_a", "lender_b"), name)
-        ends = filtered.select(F.col("a").alias("ck"), F.col("lender_a").alias("lender")).unionByName(filtered.select(F.col("b").alias("ck"), F.col("lender_b").alias("lender"))).distinct()
-        wanted = spark.sparkContext.broadcast(bitmap(ends.select("lender")))
+        ends = filtered.select(F.col("a").alias("ck"), F.col("lender_a").alias("lender")).unionByName(filtered.select(F.col("b").alias("ck"), F.col("lender_b").alias("lender")))
+        wanted = spark.sparkContext.broadcast((bitmap(ends.select("lender")), bitmap(ends.select("ck"))))
         likely = texts.mapInArrow(lean(_wanted_sets(width, wanted)), "ck long, lender long, items array<long>")
-        own = materialize(likely.join(ends, ["ck", "lender"], "leftsemi").select("ck", "items"), "sets", TEXT_ROWS)
-        left = filtered.select("a", "b", "n_a", "n_b").join(own.select(F.col("ck").alias("a"), F.col("items").alias("x")), "a")
-        both = left.join(own.select(F.col("ck").alias("b"), F.col("items").alias("y")), "b")
+        own = likely.repartition("ck", "lender")  # one exchange for both ends; the joins leave out what only the bitmaps let through
+        x, y = (own.select(F.col("ck").alias(e), F.col("lender").alias(f"lender_{e}"), F.col("items").alias(items)) for e, items in (("a", "x"), ("b", "y")))
+        both = filtered.join(x, ["a", "lender_a"]).join(y, ["b", "lender_b"])
         common = F.size(F.array_intersect("x", "y"))
-        return materialize(both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct(), name)
+        return materialize(both.where(100 * common >= percent * (F.col("n_a") + F.col("n_b") - common)).select("a", "b").distinct(), "sets", TEXT_ROWS)
 
     salt = F.lit(_SALTS[2])
     heads = lists.groupBy("token").agg(F.min("ck").alias("first"), F.max("ck").alias("last"), F.min(F.col("ck").bitwiseXOR(salt)).alias("mid"))
     first = lists.join(heads, "token").select("ck", F.explode(F.array_distinct(F.array("first", "last", F.col("mid").bitwiseXOR(salt)))).alias("pivot"))
-    first = first.where("ck <> pivot").select(F.least("ck", "pivot").alias("a"), F.greatest("ck", "pivot").alias("b")).distinct()
-    tried = materialize(first, "pairs")
+    first = first.where("ck <> pivot").select(F.least("ck", "pivot").alias("a"), F.greatest("ck", "pivot").alias("b"))
+    tried = materialize(first.unionByName(couples).distinct(), "pairs")
     links = verified(tried, "links")
     roots = connected_components(links)
 
