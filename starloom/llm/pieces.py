@@ -18,19 +18,20 @@ import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .blocks import ragged
 from .common import reachable, steps, table
-from .tokens import tokenizer_path
+from .tokens import Kept, tokenizer_path
 
 SPACE = "▁"
 LONG = 4096
-#: Words whose ids a worker keeps; beyond that it starts anew.
+#: Words whose ids a worker keeps; beyond that, or eight times as many ids, it starts anew.
 MOST_WORDS = 400_000
 #: Words merged together in one set of rounds hold at most so many characters, or are one word.
 ROUND_CHARS = 1 << 18
@@ -65,8 +66,14 @@ class Vocabulary:
         self.ranks = ranks[self.made].astype(np.int64)
         self.pairs = dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.made.tolist(), strict=True), strict=True))
         self.cuts = not any(SPACE in p.lstrip(SPACE) for p in self.ids)
-        self.out = [b"" if model.is_control(i) else bytes([int(p[3:5], 16)]) if model.is_byte(i) else " ⁇ ".encode() if model.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.known: dict[str, bytes] = {}
+        out = [b"" if model.is_control(i) else bytes([int(p[3:5], 16)]) if model.is_byte(i) else " ⁇ ".encode() if model.is_unknown(i) else p.replace(SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.out_size = np.fromiter(map(len, out), np.int64, number)
+        self.out_at = np.cumsum(self.out_size) - self.out_size
+        self.out = np.frombuffer(b"".join(out), np.uint8)
+        # "12," and the like in eight bytes, filled up with zero bytes
+        self.decimal = np.array([f"{i}," for i in range(number)], "S8").view(np.uint64)
+        self.kept = Kept()
+        self.known: dict[str, int] = {}
 
     def _symbol(self, text: str) -> int | None:
         """The number of a piece; a single character without one is numbered after all pieces."""
@@ -82,11 +89,16 @@ class Vocabulary:
 
     def merge_words(self, words: list[str]) -> list[np.ndarray]:
         """The symbols of each word after all merges."""
+        symbols, sizes = self._merged(words)
+        return np.split(symbols, np.cumsum(sizes)[:-1])
+
+    def _merged(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The symbols of all words in a row after all merges, and how many each word has."""
         n = np.fromiter(map(len, words), np.int64, len(words))
         chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
         distinct, code = np.unique(chars, return_inverse=True)
         symbols = np.array([self._symbol(chr(c)) for c in distinct], dtype=np.int64)[code]
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(words)
+        ended, ended_word = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
         word = np.repeat(np.arange(len(words)), n)
         ranks, made = np.full(len(symbols), _NONE), np.zeros(len(symbols), np.int64)
         if len(symbols) > 1:
@@ -98,9 +110,9 @@ class Vocabulary:
             least = np.minimum.reduceat(ranks, starts)
             done = least == _NONE
             if done.any():
-                for i, a, b in zip(word[starts[done]], starts[done], starts[done] + sizes[done], strict=True):
-                    out[i] = symbols[a:b]
                 keep = np.repeat(~done, sizes)
+                ended.append(symbols[~keep])
+                ended_word.append(word[~keep])
                 symbols, word, ranks, made = symbols[keep], word[keep], ranks[keep], made[keep]
                 least, sizes = least[~done], sizes[~done]
                 if not len(symbols):
@@ -121,7 +133,8 @@ class Vocabulary:
             ranks[renewed], made[renewed] = self._look_up(symbols[renewed], symbols[renewed + 1])
             last = at[(at + 1 >= len(symbols)) | (word[np.minimum(at + 1, len(symbols) - 1)] != word[at])]
             ranks[last] = _NONE
-        return out
+        word = np.concatenate(ended_word)
+        return np.concatenate(ended)[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
     def merge_long(self, word: str) -> np.ndarray:
         """The symbols of one very long word: the same order of merges from a heap."""
@@ -147,51 +160,87 @@ class Vocabulary:
             offer(i, after[i])
         return np.array([s for s in symbols if s >= 0], dtype=np.int64)
 
-    def _ids(self, symbols: np.ndarray) -> bytes:
-        if len(symbols) and symbols.max() >= self.number:
-            parts = []
-            for s in symbols.tolist():
-                if s < self.number:
-                    parts.append(s)
-                elif self.byte_ids:
-                    parts += [self.byte_ids[b] for b in chr(s - self.number).encode("utf-8", "surrogatepass")]
-                else:
-                    parts.append(self.unknown)
-            symbols = np.array(parts)
-        return symbols.astype("<u4").tobytes()
+    def _ids(self, symbols: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words given by their symbols, and how many each word has: characters without a piece become byte pieces."""
+        odd = np.flatnonzero(symbols >= self.number)
+        if len(odd):
+            distinct, code = np.unique(symbols[odd], return_inverse=True)
+            if self.byte_ids:
+                made = [[self.byte_ids[b] for b in chr(s - self.number).encode("utf-8", "surrogatepass")] for s in distinct.tolist()]
+            else:
+                made = [[self.unknown]] * len(distinct)
+            n = np.fromiter(map(len, made), np.int64, len(made))
+            times = np.ones(len(symbols), np.int64)
+            times[odd] = n[code]
+            at = np.cumsum(times) - times
+            symbols = np.repeat(symbols, times)
+            symbols[ragged(at[odd], times[odd])] = np.concatenate(made)[ragged((np.cumsum(n) - n)[code], times[odd])]
+            total = np.concatenate(([0], np.cumsum(times)))
+            ends = np.cumsum(sizes)
+            sizes = total[ends] - total[ends - sizes]
+        return symbols, sizes
+
+    def _keep(self, words: list[str], symbols: np.ndarray, sizes: np.ndarray) -> None:
+        first = self.kept.add(*self._ids(symbols, sizes))
+        self.known.update(zip(words, range(first, first + len(words)), strict=True))
 
     def _learn(self, words: list[str]) -> None:
         held, size = [], 0
         for w in sorted(words, key=len):
             if len(w) > LONG:
-                self.known[w] = self._ids(self.merge_long(w))
+                symbols = self.merge_long(w)
+                self._keep([w], symbols, np.array([len(symbols)]))
                 continue
             if held and size + len(w) > ROUND_CHARS:
-                self.known.update(zip(held, map(self._ids, self.merge_words(held)), strict=True))
+                self._keep(held, *self._merged(held))
                 held, size = [], 0
             held.append(w)
             size += len(w)
         if held:
-            self.known.update(zip(held, map(self._ids, self.merge_words(held)), strict=True))
+            self._keep(held, *self._merged(held))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """The ids of each text."""
+        ids, ends = self.encode_all(texts)
+        return np.split(ids, ends[:-1]) if len(ends) else []
+
+    def encode_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, and where each text's end."""
         marked = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
         parts = [_WORD.findall(t) for t in marked] if self.cuts else [[t] if t else [] for t in marked]
-        if len(self.known) > MOST_WORDS:
-            self.known.clear()
-        new = [w for w in set(chain.from_iterable(parts)) if w not in self.known]
-        if new:
+        if len(self.known) > MOST_WORDS or self.kept.used > 8 * MOST_WORDS:
+            self.known, self.kept = {}, Kept()
+        words = list(chain.from_iterable(parts))
+        number = np.fromiter(map(self.known.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(number < 0)
+        if len(unknown):
+            fresh = [words[i] for i in unknown.tolist()]
+            new = list(dict.fromkeys(fresh))
             self._learn(new)
-        out = [np.frombuffer(b"".join(map(self.known.__getitem__, p)), "<u4") for p in parts]
-        for w in new:
-            if len(w) > 64:
-                del self.known[w]
-        return out
+            number[unknown] = np.fromiter(map(self.known.__getitem__, fresh), np.int64, len(fresh))
+            for w in new:
+                if len(w) > 64:
+                    del self.known[w]
+        ids, ends = self.kept.gather(number)
+        last = np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)))
+        return ids, np.concatenate(([0], ends))[last]
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids: pieces in a row without the dummy prefix; bytes that aren't UTF-8 become U+FFFD."""
-        text = b"".join(map(self.out.__getitem__, ids.tolist())).decode("utf-8", "replace")
-        return text[1:] if text[:1] == " " else text
+        return self.decode_all([ids])[0]
+
+    def decode_all(self, ids_of: list[np.ndarray]) -> list[str]:
+        """The texts of several lists of ids."""
+        ids = np.concatenate([np.zeros(0, np.int64), *ids_of]).astype(np.int64)
+        raw = self.out[ragged(self.out_at[ids], self.out_size[ids])].tobytes()
+        sizes = np.concatenate(([0], np.cumsum(self.out_size[ids])))
+        ends = sizes[np.cumsum([0, *map(len, ids_of)])].tolist()
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(ends, ends[1:])]
+        return [t[1:] if t[:1] == " " else t for t in texts]
+
+    def said(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by commas."""
+        return self.decimal[ids].tobytes().translate(None, b"\0")[:-1]
 
 
 @lru_cache(maxsize=4)
@@ -211,10 +260,10 @@ def encode_and_decode(documents: DataFrame, model: str | None = None, digests: b
         for part in parts:
             rows = []
             for held in steps(part):
-                for ids in v.encode(held):
-                    text = v.decode(ids)
+                ids_of = v.encode(held)
+                for ids, text in zip(ids_of, v.decode_all(ids_of), strict=True):
                     if digests:
-                        rows.append((len(ids), hashlib.sha256(",".join(map(str, ids.tolist())).encode()).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
+                        rows.append((len(ids), hashlib.sha256(v.said(ids)).hexdigest(), hashlib.sha256(text.encode("utf-8", "surrogatepass")).hexdigest()))
                     else:
                         rows.append((ids.astype(np.int32), text))
             yield pd.DataFrame(rows, columns=[c.split()[0] for c in kind.split(", ")])
