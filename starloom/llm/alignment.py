@@ -55,7 +55,8 @@ class Side:
         self.sizes = np.array([len(t) for t in every], np.int64)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.data = np.frombuffer(b"".join(every), np.uint8)
-        self.decimal = {c: np.array([f"{i}{c}" for i in range(len(every))], dtype="S") for c in ",|;"}
+        # "12," and the like in eight bytes, filled up with zero bytes
+        self.decimal = {c: np.array([f"{i}{c}" for i in range(len(every))], "S8").view(np.uint64) for c in ",|;"}
 
     def bytes_of(self, ids: np.ndarray) -> np.ndarray:
         return self.data[ragged(self.starts[ids], self.sizes[ids])]
@@ -117,6 +118,8 @@ def cut(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.
     ends_a and ends_b ascend over all documents; interval i holds A's tokens first_a[i] .. last_a[i] - 1 and B's likewise, and ends at a shared cut.
     """
     low, high, below, above = first_a, last_a, first_b, last_b
+    token_b = np.full(int(max(ends_a[-1], ends_b[-1])) + 1 if len(low) else 0, -1, np.int32)  # the first token of B that ends at an offset
+    token_b[ends_b[::-1]] = np.arange(len(ends_b) - 1, -1, -1, dtype=np.int32)
     found_a, found_b = [], []
     while len(low):
         middle = (low + high - 1) // 2
@@ -126,8 +129,8 @@ def cut(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.
             tried = middle[waiting] + offset
             inside = (tried >= low[waiting]) & (tried < high[waiting] - 1)
             end = ends_a[np.clip(tried, 0, len(ends_a) - 1)]
-            place = np.searchsorted(ends_b, end)
-            hit = inside & (ends_b[np.minimum(place, len(ends_b) - 1)] == end)
+            place = token_b[end]
+            hit = inside & (place >= 0)
             at[waiting[hit]], partner[waiting[hit]] = tried[hit], place[hit]
             waiting = waiting[~hit]
             if not len(waiting):
@@ -136,8 +139,8 @@ def cut(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.
         if len(waiting):  # all other ends of the interval at once; the one nearest to the middle counts
             sizes = high[waiting] - 1 - low[waiting]
             tried, owner = ragged(low[waiting], sizes), np.repeat(np.arange(len(waiting)), sizes)
-            place = np.searchsorted(ends_b, ends_a[tried])
-            hit = ends_b[place] == ends_a[tried]
+            place = token_b[ends_a[tried]]
+            hit = place >= 0
             tried, owner, place = tried[hit], owner[hit], place[hit]
             order = np.lexsort((np.abs(tried - middle[waiting[owner]]), owner))
             tried, owner, place = tried[order], owner[order], place[order]
@@ -158,8 +161,11 @@ def cut(ends_a: np.ndarray, ends_b: np.ndarray, first_a: np.ndarray, last_a: np.
 
 def links(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of the A and the B token of every link, by offset: each stretch between neighbouring ends of either kind is one link."""
-    ends = np.union1d(ends_a, ends_b)
-    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
+    if not len(ends_a):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    here_a, here_b = (np.bincount(ends, minlength=int(max(ends_a[-1], ends_b[-1])) + 1) for ends in (ends_a, ends_b))
+    ends = np.flatnonzero(here_a + here_b)
+    return (np.cumsum(here_a) - here_a)[ends], (np.cumsum(here_b) - here_b)[ends]
 
 
 class Aligned:
@@ -192,15 +198,14 @@ class Aligned:
         a, b = self.sides
         n_a = np.diff(np.append(self.group_a, len(self.a)))
         n_b = np.diff(np.append(self.group_b, len(self.b)))
-        width = max(a.decimal[","].itemsize, b.decimal[","].itemsize)
-        said = np.zeros(len(self.a) + len(self.b), f"S{width}")
+        said = np.zeros(len(self.a) + len(self.b), np.uint64)
         place_a = np.arange(len(self.a)) + np.repeat(self.group_b, n_a)
         place_b = np.arange(len(self.b)) + np.repeat(self.group_a + n_a, n_b)
         said[place_a], said[place_b] = a.decimal[","][self.a], b.decimal[","][self.b]
         end_a, end_b = self.group_a + n_a - 1, self.group_b + n_b - 1
         said[place_a[end_a]], said[place_b[end_b]] = a.decimal["|"][self.a[end_a]], b.decimal[";"][self.b[end_b]]
         ends = np.cumsum(self.n_a + self.n_b)
-        return [hashlib.sha256(said[e - n : e].tobytes().replace(b"\0", b"")[:-1]).hexdigest() for e, n in zip(ends, self.n_a + self.n_b, strict=True)]
+        return [hashlib.sha256(said[e - n : e].tobytes().translate(None, b"\0")[:-1]).hexdigest() for e, n in zip(ends, self.n_a + self.n_b, strict=True)]
 
 
 def _listed(a: str, b: str, block_chars: int):
