@@ -6,7 +6,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.session import freed_shuffles, materialize, materialize_pieces, passing_scratch, scratch_path
+from starloom.plans import bindings as B
+from starloom.registry import streams
+from starloom.registry.cleaning import dirty_orders
+from starloom.session import freed_shuffles, materialize, materialize_pieces, passing_scratch, plan_size, scratch_path
 from starloom.sources.store import TableStore
 from starloom.streaming import batch as loads
 from starloom.streaming.batch import process_batch
@@ -97,3 +100,38 @@ def test_pieces_of_other_columns_are_quarantined_whole(spark, tmp_path):
     store = TableStore(spark, str(tmp_path / "s"))
     assert process_batch([good, good.drop("quantity")], 0, store) == "failed"
     assert store.read("quarantine").count() == 8 and store.read("pipeline_runs").first().status == "failed"
+
+
+@pytest.fixture
+def tables(spark, tmp_path):
+    """Sixty lines of twelve orders; a twelfth of them each with quantity 1, 2, 13, 14 and 15."""
+    at = datetime(1998, 6, 1)
+    made = {
+        "region": [(0, "R")], "nation": [(0, "N", 0)], "customer": [(i, f"c{i}", 0, 5.0 * i, "M") for i in range(4)],
+        "part": [(i, f"p{i}", "B", "T", i, 10.0 + i) for i in range(5)],
+        "orders": [(i, i % 4, "O", 1.0, datetime(1997 + i % 3, 1 + i, 3), "1") for i in range(12)],
+        "lineitem": [(i % 12, i % 5, 0, i // 12, float([1, 2, 13, 14, 15, 20][i % 6]), 300.0 + i, 0.05, 0.02, "A", "F", at) for i in range(60)],
+    }
+    for name, data in made.items():
+        spark.createDataFrame(data, B.TABLES[name]).coalesce(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    return str(tmp_path)
+
+
+def test_records_are_dealt_into_pieces_by_order(spark, tables, monkeypatch, rows):
+    """Also the pieces of dirty orders; the calendar's lines are those of one batch."""
+    one = streams._in_pieces(spark, tables, streams._order_records(spark, tables))
+    calendar = rows(streams_calendar(spark, tables))
+    monkeypatch.setattr(streams, "PIECE_BYTES", plan_size(B.table(spark, tables, "lineitem")) // 3 + 1)
+    for whole in (streams._order_records(spark, tables), dirty_orders(spark, tables).drop(*B.ORDER_TIES)):
+        pieces = streams._in_pieces(spark, tables, whole)
+        assert len(pieces) == 3 and all(p.count() < whole.count() for p in pieces)
+        assert sorted((r for p in pieces for r in rows(p)), key=str) == rows(whole)
+        assert rows(materialize_pieces(pieces)) == rows(whole)
+    assert len(one) == 1 and rows(streams_calendar(spark, tables)) == calendar
+    assert sum(r[-1] for r in calendar) == 60
+
+
+def streams_calendar(spark, folder):
+    from starloom.registry.runs import stream_calendar
+
+    return stream_calendar(spark, folder).select("date_key", "day_name", "quarter", "orders")
