@@ -135,3 +135,14 @@ def streams_calendar(spark, folder):
     from starloom.registry.runs import stream_calendar
 
     return stream_calendar(spark, folder).select("date_key", "day_name", "quarter", "orders")
+
+
+def test_rejects_and_records_in_pieces(spark, tables, monkeypatch):
+    monkeypatch.setattr(streams, "PIECE_BYTES", plan_size(B.table(spark, tables, "lineitem")) // 3 + 1)
+    monkeypatch.setattr(loads, "PASS_ROWS", 40)
+    seen = []
+    apply = streams.process_batch
+    monkeypatch.setattr(streams, "process_batch", lambda batch, *a, **k: seen.append(len(batch)) or apply(batch, *a, **k))
+    assert tuple(streams.stream_rejects(spark, tables).first()) == (50, 10, "completed", 2)
+    assert tuple(streams.record_batches(spark, tables).first()) == (60, 4, 5, 60, "skipped")
+    assert seen == [3, 3, 3, 3]
